@@ -13,6 +13,20 @@ from wellspring.constants import (
 )
 
 
+def _cp1252_beyond_latin1() -> dict[str, str]:
+    """Latin-1 control characters and what the same bytes mean in cp1252."""
+    found = {}
+    for byte in range(0x80, 0xA0):
+        try:
+            found[chr(byte)] = bytes([byte]).decode("cp1252")
+        except UnicodeDecodeError:
+            continue
+    return found
+
+
+CP1252 = _cp1252_beyond_latin1()
+
+
 def clean_key(key: Column) -> Column:
     """Trimmed key; blank text and the text ``nan`` are real nulls."""
     trimmed = F.trim(key)
@@ -82,10 +96,11 @@ def decode_text(raw: Column, encoding: Column | None = None) -> Column:
     data = raw.cast("binary")
     if encoding is None:
         encoding = best_encoding(F.is_valid_utf8(raw), ~has_undefined_cp1252(raw))
+    latin = F.decode(data, "ISO-8859-1")
     text = (
         F.when(encoding == "utf-8", raw)
-        .when(encoding == "cp1252", F.decode(data, "windows-1252"))
-        .otherwise(F.decode(data, "ISO-8859-1"))
+        .when(encoding == "cp1252", F.translate(latin, "".join(CP1252), "".join(CP1252.values())))
+        .otherwise(latin)
     )
     return F.regexp_replace(text, "^﻿", "")
 

@@ -81,11 +81,10 @@ def previous_by(
     carried = tails.select(*parts, F.lag("_tail").over(across).alias("_carry")).where(
         "_carry is not null"
     )
-    conditions = [marked_key(parts_name) for parts_name in parts]
     linked = (
         marked.withColumn("_prev", F.lag(row).over(inside))
         .alias("rows")
-        .join(carried.alias("carried"), _all(conditions), "left")
+        .join(carried.alias("carried"), _all([_same(p) for p in parts]), "left")
     )
     previous = F.coalesce(F.col("rows._prev"), F.col("carried._carry"))
     return linked.select(
@@ -95,7 +94,7 @@ def previous_by(
     )
 
 
-def marked_key(name: str) -> Column:
+def _same(name: str) -> Column:
     return F.col(f"rows.`{name}`").eqNullSafe(F.col(f"carried.`{name}`"))
 
 
@@ -106,6 +105,35 @@ def _all(conditions: Iterable[Column]) -> Column:
     return out
 
 
+def carry_forward(
+    df: DataFrame, keys: Sequence[str], order: str, column: str, bucket: Column
+) -> DataFrame:
+    """Fill a column with the newest non-null value at or before the row.
+
+    Works bucket by bucket like ``previous_by``.
+    """
+    parts = [*keys, "_bucket"]
+    marked = df.withColumn("_bucket", bucket)
+    inside = Window.partitionBy(*parts).orderBy(order)
+    tails = marked.groupBy(*parts).agg(last_nonnull(column, F.col(order)).alias("_tail"))
+    across = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = tails.select(
+        *parts, F.last("_tail", ignorenulls=True).over(across).alias("_carry")
+    ).where("_carry is not null")
+    filled = F.last(column, ignorenulls=True).over(inside)
+    return (
+        marked.withColumn("_own", filled)
+        .alias("rows")
+        .join(carried.alias("carried"), _all([_same(p) for p in parts]), "left")
+        .select(
+            *[F.col(f"rows.`{c}`") for c in df.columns if c != column],
+            F.coalesce("rows._own", "carried._carry").alias(column),
+        )
+    )
+
+
 def transitions(
     df: DataFrame, key: str, date: str, state: str, order: Sequence[str] | None = None
 ) -> DataFrame:
