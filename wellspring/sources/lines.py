@@ -37,20 +37,27 @@ def file_encoding() -> Column:
 def read_lines(
     spark: SparkSession, path: str | Sequence[str], encoding: str | None = None
 ) -> DataFrame:
-    """Numbered lines of plain text files, big files split into many tasks.
+    """Numbered lines of plain text files, big files split into many tasks."""
+    return numbered_text(with_source(spark.read.text(path)), encoding)
+
+
+def with_source(raw: DataFrame) -> DataFrame:
+    """Text rows with the file and the file block they come from."""
+    return raw.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+    )
+
+
+def numbered_text(raw: DataFrame, encoding: str | None = None) -> DataFrame:
+    """Line numbers and decoded text for rows of ``with_source``.
 
     Lines are counted per file block and the blocks of a file are added up, so
     numbering needs no shuffle of the lines. Without ``encoding`` every file is
     read as the first of UTF-8, cp1252 and latin-1 that fits all its lines.
     """
-    raw = staged(
-        spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"),
-            "value",
-        )
-    )
+    raw = staged(raw.withColumn("id", F.monotonically_increasing_id()))
     blocks = raw.groupBy("file", "block").agg(
         F.min("id").alias("first_id"),
         F.count(F.lit(1)).alias("lines"),
@@ -60,14 +67,12 @@ def read_lines(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy("file")
+    chosen = F.lit(encoding) if encoding else _widest(F.collect_set("encoding").over(whole))
     starts = blocks.select(
         "file",
         "block",
         (F.coalesce(F.sum("lines").over(before), F.lit(0)) - F.col("first_id")).alias("shift"),
-        # the three names sort so that the widest need of any block wins
-        (F.lit(encoding) if encoding else _widest(F.collect_set("encoding").over(whole))).alias(
-            "encoding"
-        ),
+        chosen.alias("encoding"),
     )
     return raw.join(starts, ["file", "block"]).select(
         "file",
