@@ -35,6 +35,12 @@ def province_of(key: str) -> str:
     return f"case when {key}%5=0 then 'SK' else 'AB' end"
 
 
+# the one place where the two engines need different words: four rows per part
+FOUR_SNAPSHOTS = {
+    "spark": "lateral view explode(array(1, 2, 3, 4)) d as i",
+    "duckdb": "cross join unnest([1, 2, 3, 4]) as d(i)",
+}
+
 DERIVED = {
     "wells": f"""
 select {uwi_of("p_partkey")} as uwi, upper(p_name) as name,
@@ -50,14 +56,12 @@ select {uwi_of("p_partkey")} as uwi,
     else 'BRAVO' end,' ',upper(p_name)) as well_name,
   concat('2024-0',cast(d.i as string),'-01') as snapshot_date,
   {province_of("p_partkey")} as province
-from {{part}} cross join (select 1 as i union all select 2 as i
-  union all select 3 as i union all select 4 as i) d
+from {{part}} FOUR_SNAPSHOTS
 where (p_partkey+d.i)%7<>0""",
     "volumetric": f"""
 select concat(case when l_partkey%5=0 then 'SKWI100' else 'ABWI100' end,
-    replace(replace(replace(substring({uwi_of("l_partkey")},4,20),'-',''),
-      '/','0'),' ','')) as from_to_id,
-  {uwi_of("l_partkey")} as uwi,
+    replace(replace(substring(uwi,4,20),'-',''),'/','0')) as from_to_id,
+  uwi,
   substring(cast(l_shipdate as string),1,7) as productionmonth,
   case when l_linestatus='F' then 'PROD' else 'DISP' end as activityid,
   case l_returnflag when 'A' then 'OIL' when 'R' then 'GAS' else 'WATER' end
@@ -65,7 +69,7 @@ select concat(case when l_partkey%5=0 then 'SKWI100' else 'ABWI100' end,
   cast(l_quantity as decimal(18,3)) as volume,
   {province_of("l_partkey")} as province,
   cast(l_shipdate as date) as snapshot_date, l_orderkey, l_linenumber
-from {{lineitem}}""",
+from (select *, {uwi_of("l_partkey")} as uwi from {{lineitem}}) l""",
     "production": """
 select productionmonth, uwi, province,
   cast(coalesce(sum(case when productid='OIL' then volume end),0)
@@ -123,7 +127,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base or derived table as a DataFrame."""
     if name in BASE:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = DERIVED[name]
+    text = DERIVED[name].replace("FOUR_SNAPSHOTS", FOUR_SNAPSHOTS["spark"])
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in _references(text)})
 
 
@@ -145,6 +149,7 @@ def with_views(query: str) -> str:
         return re.sub(REFERENCE, r"\1", text)
 
     views = ", ".join(f"{n} as ({plain(DERIVED[n])})" for n in needed)
+    views = views.replace("FOUR_SNAPSHOTS", FOUR_SNAPSHOTS["duckdb"])
     body = plain(query).strip()
     if not views:
         return body

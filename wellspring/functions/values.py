@@ -13,9 +13,35 @@ VOLUME = "decimal(18,3)"
 DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "MM/dd/yyyy")
 
 
+def _as_iso(text: Column, shape: str) -> Column:
+    """The text of one shape as ISO digits; null for other lengths or separators."""
+
+    def cut(start: int, length: int) -> Column:
+        return F.substring(text, start, length)
+
+    dash = F.lit("-")
+    if shape == "yyyyMMdd":
+        iso = F.concat(cut(1, 4), dash, cut(5, 2), dash, cut(7, 2))
+    elif shape == "MM/dd/yyyy":
+        iso = F.when(
+            (cut(3, 1) == "/") & (cut(6, 1) == "/"),
+            F.concat(cut(7, 4), dash, cut(1, 2), dash, cut(4, 2)),
+        )
+    elif shape == "yyyy-MM":
+        iso = F.concat(text, F.lit("-01"))
+    else:
+        iso = text
+    return F.when(F.length(text) == len(shape), iso)
+
+
 def coerce_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; null for anything else."""
-    return F.coalesce(*[F.try_to_date(F.trim(text), f) for f in formats])
+    """First format that fits; null for anything else.
+
+    The text is rearranged and cast, because a pattern parser pays an exception
+    for every value that does not fit.
+    """
+    trimmed = F.trim(text)
+    return F.coalesce(*[_as_iso(trimmed, f).try_cast("date") for f in formats])
 
 
 def coerce_dates(

@@ -74,11 +74,16 @@ def previous_by(
     """
     parts = [*keys, "_bucket"]
     row = F.struct(*values)
-    marked = df.withColumn("_bucket", bucket)
+    # Both branches below read this one shuffle. The tail keeps the whole row,
+    # so that column pruning leaves the branches alike and the shuffle is shared.
+    marked = df.withColumn("_bucket", bucket).repartition(*parts)
     inside = Window.partitionBy(*parts).orderBy(*order)
-    tails = marked.groupBy(*parts).agg(F.max_by(row, F.struct(*order)).alias("_tail"))
+    tails = marked.groupBy(*parts).agg(
+        F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_tail")
+    )
     across = Window.partitionBy(*keys).orderBy("_bucket")
-    carried = tails.select(*parts, F.lag("_tail").over(across).alias("_carry")).where(
+    last = F.struct(*[F.col("_tail")[v].alias(v) for v in values])
+    carried = tails.select(*parts, F.lag(last).over(across).alias("_carry")).where(
         "_carry is not null"
     )
     linked = (
@@ -110,17 +115,18 @@ def carry_forward(
 ) -> DataFrame:
     """Fill a column with the newest non-null value at or before the row.
 
-    Works bucket by bucket like ``previous_by``.
+    Works bucket by bucket, on one shared shuffle, like ``previous_by``.
     """
     parts = [*keys, "_bucket"]
-    marked = df.withColumn("_bucket", bucket)
+    marked = df.withColumn("_bucket", bucket).repartition(*parts)
     inside = Window.partitionBy(*parts).orderBy(order)
-    tails = marked.groupBy(*parts).agg(last_nonnull(column, F.col(order)).alias("_tail"))
+    newest = F.when(F.col(column).isNotNull(), F.col(order))
+    tails = marked.groupBy(*parts).agg(F.max_by(F.struct(*df.columns), newest).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = tails.select(
-        *parts, F.last("_tail", ignorenulls=True).over(across).alias("_carry")
+        *parts, F.last(F.col("_tail")[column], ignorenulls=True).over(across).alias("_carry")
     ).where("_carry is not null")
     filled = F.last(column, ignorenulls=True).over(inside)
     return (
@@ -261,6 +267,8 @@ def look_ahead(
     last lines needs them.
     """
     span = max(ahead for _, ahead in values.values())
+    if block < span:
+        raise ValueError("a block must be at least as long as the look-ahead")
     own = F.floor(F.col("line_no") / block)
     offset = F.col("line_no") % block
     borrowed = F.when((offset < span) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
