@@ -262,12 +262,13 @@ def build_wells(inputs: Inputs, tiebreak: Sequence[str] = ()) -> DataFrame:
     rows = latest_by(
         rows, ["uwi", "province"], _newest(rows, tiebreak or sorted(rows.columns))
     )
-    renames = {
-        old: new
+    # sources under the published and under our names fill each other
+    aliases = {
+        new: [old, new]
         for old, new in WELLS_RENAMES.items()
-        if old in rows.columns and new not in rows.columns
+        if old in rows.columns or new in rows.columns
     }
-    wells = coerce_dates(rows.withColumnsRenamed(renames), WELLS_DATES)
+    wells = coerce_dates(canonicalize(rows, aliases), WELLS_DATES)
     if "confidential" in inputs:
         wells = enrich_confidential(wells, inputs["confidential"])
     else:
