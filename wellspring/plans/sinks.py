@@ -86,6 +86,20 @@ def write_production(df: DataFrame, root: str) -> str:
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, key: str = "uwi", buckets: int = 512) -> None:
+    """Save a managed table bucketed and sorted by its join key.
+
+    Two tables bucketed alike join on the key without moving either of them.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+
+
 def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """A silver table, None if it was not built."""
     try:

@@ -59,5 +59,6 @@ def load() -> None:
         quality,
         silver,
         sources,
+        stored,
         views,
     )

@@ -68,7 +68,8 @@ def _encoding(data: bytes, encodings: Sequence[str]) -> str:
 def _lines(file: str, member: str, data: bytes, encodings: Sequence[str]) -> Iterator[pd.DataFrame]:
     if _is_html(data):
         return
-    with io.TextIOWrapper(io.BytesIO(data), encoding=_encoding(data, encodings)) as text:
+    encoding = _encoding(data, encodings)
+    with io.TextIOWrapper(io.BytesIO(data), encoding=encoding, newline="\n") as text:
         batch: list[str] = []
         start = 0
         for line in text:
@@ -98,7 +99,18 @@ def archive_lines(
     prefer: str = "",
     encodings: Sequence[str] = ("latin-1",),
 ) -> DataFrame:
-    """Lines of the text members of archives (plain files pass through).
+    """Lines of the text members of archives (plain files pass through)."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return expand_archives(files, suffix, prefer, encodings)
+
+
+def expand_archives(
+    files: DataFrame,
+    suffix: str = ".txt",
+    prefer: str = "",
+    encodings: Sequence[str] = ("latin-1",),
+) -> DataFrame:
+    """Lines of archives given as (path, content) rows.
 
     Of several members with the suffix the first counts, or the first whose
     name contains ``prefer``. HTML error pages give no lines. For CSV members
@@ -114,5 +126,4 @@ def archive_lines(
                 for member, data in _members(content, suffix, prefer):
                     yield from _lines(file, member, data, encodings)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(expand, LINE_SCHEMA)
+    return files.select("path", "content").mapInPandas(expand, LINE_SCHEMA)

@@ -25,7 +25,7 @@ def all_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Every snapshot, dated by its own column or by the file it came in."""
     df = spark.read.option("mergeSchema", True).parquet(path)
     if "snapshot_date" in df.columns:
-        return df.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+        return df.withColumn("snapshot_date", F.col("snapshot_date").cast("string").cast("date"))
     return df.withColumn("snapshot_date", file_date(F.col("_metadata.file_name")))
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellspring.constants import (
     CATALOGUE_LINK_ALIASES,
@@ -30,7 +31,7 @@ from wellspring.constants import (
     WELL_LIST_HEADER_CELLS,
 )
 from wellspring.functions.identifiers import dls, sk_uwi
-from wellspring.functions.names import normalize_name, normalize_name_column
+from wellspring.functions.names import canonicalize, normalize_name, normalize_name_column
 from wellspring.functions.text import (
     decode_text,
     file_date,
@@ -152,6 +153,39 @@ def read_table(
     return _pick(data, aliases, FILE)
 
 
+def read_uniform_table(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    sep: str = ",",
+    rename=normalize_name,
+    encoding: str = "UTF-8",
+) -> DataFrame:
+    """Canonical columns from files that all have the same header, in one pass.
+
+    The built-in CSV source reads only the columns that are used and checks the
+    header of every file; a file with another header fails the job instead of
+    shifting its columns. Use ``read_table`` for files that differ.
+    """
+    options = {"sep": sep, "header": True, "encoding": encoding, "escape": '"'}
+    if sep != ",":
+        options["quote"] = ""
+    names = spark.read.options(**options).csv(path).columns
+    bad = "_malformed"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
+    raw = (
+        spark.read.options(**options)
+        .option("columnNameOfCorruptRecord", bad)
+        .option("enforceSchema", False)
+        .schema(schema)
+        .csv(path)
+    )
+    too_wide = F.size(cells_of(F.col(bad), sep)) > len(names)
+    kept = raw.where(F.col(bad).isNull() | ~too_wide).drop(bad)
+    table = kept.toDF(*[rename(n.lstrip("﻿")) for n in names])
+    return canonicalize(table, aliases) if aliases else table
+
+
 # --- datasets ---------------------------------------------------------------
 
 
@@ -161,8 +195,12 @@ def shape_volumetric(table: DataFrame) -> DataFrame:
     return table.withColumn("uwi", F.coalesce("uwi", as_well))
 
 
-def read_volumetric(spark: SparkSession, path, province: str = "AB") -> DataFrame:
-    table = read_table(spark, path, VOLUMETRIC_ALIASES)
+def read_volumetric(
+    spark: SparkSession, path, province: str = "AB", uniform: bool = False
+) -> DataFrame:
+    """Monthly volumes; ``uniform`` promises one header for all files."""
+    read = read_uniform_table if uniform else read_table
+    table = read(spark, path, VOLUMETRIC_ALIASES)
     return shape_volumetric(table).withColumn("province", F.lit(province))
 
 
