@@ -24,9 +24,10 @@ def history(spark):
     return rows, spark.createDataFrame(rows, "k string, d int, s string").repartition(5)
 
 
-def test_previous_by_equals_a_plain_lag(history):
+@pytest.mark.parametrize("hot_rows", [0, 30, 100, 10**6])
+def test_previous_by_equals_a_plain_lag(history, hot_rows):
     rows, df = history
-    got = keyed.previous_by(df, ["k"], ["d"], ["d", "s"], F.floor(F.col("d") / 50))
+    got = keyed.previous_by(df, ["k"], ["d"], ["d", "s"], F.floor(F.col("d") / 50), hot_rows)
     want = {}
     last = {}
     for k, d, s in sorted(rows, key=lambda r: (r[0], r[1])):
@@ -38,9 +39,18 @@ def test_previous_by_equals_a_plain_lag(history):
         assert before == want[(r["k"], r["d"])]
 
 
-def test_carry_forward(history):
+def test_null_keys_have_no_previous_row(spark):
+    df = spark.createDataFrame([(None, i) for i in range(9)] + [("a", 1), ("a", 2)], "k string, d int")
+    for hot_rows in (0, 100):
+        got = keyed.previous_by(df, ["k"], ["d"], ["d"], F.col("d"), hot_rows)
+        assert [r["prev_d"] for r in got.where("has_prev").collect()] == [1]
+        assert got.count() == 11
+
+
+@pytest.mark.parametrize("hot_rows", [0, 30, 10**6])
+def test_carry_forward(history, hot_rows):
     rows, df = history
-    got = keyed.carry_forward(df, ["k"], "d", "s", F.floor(F.col("d") / 50))
+    got = keyed.carry_forward(df, ["k"], "d", "s", F.floor(F.col("d") / 50), hot_rows)
     last, want = {}, {}
     for k, d, s in sorted(rows, key=lambda r: (r[0], r[1])):
         last[k] = s or last.get(k)

@@ -9,7 +9,8 @@ task sorts a whole hot key. The other operators are partial aggregates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,84 +59,113 @@ def seen_range(
     return out
 
 
+HOT_ROWS = 5_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more rows than one task should sort.
+
+    A table of n rows has fewer than n/rows of them: 200,000 for a million
+    million rows and the default, a few megabytes.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).drop("_n")
+
+
+def _bucketed(
+    df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int
+) -> DataFrame:
+    """Add ``_bucket``: the given one for hot keys and null keys, else null.
+
+    The list of hot keys is bounded by their own size (see ``hot_keys``), so it
+    is broadcast and the rows stay where they are. Without hot keys adaptive
+    execution drops the join, and with it every branch that only serves them.
+    """
+    hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
+    spread = F.col("_hot") | _any_null(keys)
+    return df.join(hot, list(keys), "left").select(
+        *df.columns, F.when(spread, bucket).alias("_bucket")
+    )
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+
 def previous_by(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     values: Sequence[str],
     bucket: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev_<value>`` from the preceding row of the same key.
 
-    ``bucket`` must not decrease along the order within a key (the month of a
-    date, for example). The lag runs inside (key, bucket); the first row of a
-    bucket takes the last row of the bucket before, which travels as one
-    pre-aggregated row per (key, bucket).
+    A key with more than ``hot_rows`` rows is cut into buckets, which must not
+    decrease along the order (the month of a date, for example). The lag then
+    runs inside (key, bucket), and the first row of a bucket takes the last row
+    of the bucket before, which travels as one pre-aggregated row per bucket.
+    Rows with a null key belong to nothing and have no previous row.
     """
     parts = [*keys, "_bucket"]
     row = F.struct(*values)
-    # Both branches below read this one shuffle. The tail keeps the whole row,
-    # so that column pruning leaves the branches alike and the shuffle is shared.
-    marked = df.withColumn("_bucket", bucket).repartition(*parts)
+    known = ~_any_null(keys)
+    marked = _bucketed(df, keys, bucket, hot_rows)
     inside = Window.partitionBy(*parts).orderBy(*order)
-    tails = marked.groupBy(*parts).agg(
-        F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_tail")
+    tails = (
+        marked.where(F.col("_bucket").isNotNull() & known)
+        .groupBy(*parts)
+        .agg(F.max_by(row, F.struct(*order)).alias("_tail"))
     )
     across = Window.partitionBy(*keys).orderBy("_bucket")
-    last = F.struct(*[F.col("_tail")[v].alias(v) for v in values])
-    carried = tails.select(*parts, F.lag(last).over(across).alias("_carry")).where(
+    carried = tails.select(*parts, F.lag("_tail").over(across).alias("_carry")).where(
         "_carry is not null"
     )
-    linked = (
-        marked.withColumn("_prev", F.lag(row).over(inside))
-        .alias("rows")
-        .join(carried.alias("carried"), _all([_same(p) for p in parts]), "left")
+    # joined on the columns of the window, so the rows are not moved again
+    linked = marked.withColumn("_prev", F.when(known, F.lag(row).over(inside))).join(
+        carried, parts, "left"
     )
-    previous = F.coalesce(F.col("rows._prev"), F.col("carried._carry"))
+    previous = F.coalesce("_prev", "_carry")
     return linked.select(
-        *[F.col(f"rows.`{c}`") for c in df.columns],
+        *df.columns,
         *[previous[v].alias(f"prev_{v}") for v in values],
         previous.isNotNull().alias("has_prev"),
     )
 
 
-def _same(name: str) -> Column:
-    return F.col(f"rows.`{name}`").eqNullSafe(F.col(f"carried.`{name}`"))
-
-
-def _all(conditions: Iterable[Column]) -> Column:
-    out = None
-    for c in conditions:
-        out = c if out is None else out & c
-    return out
-
-
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: str, column: str, bucket: Column
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    column: str,
+    bucket: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fill a column with the newest non-null value at or before the row.
 
-    Works bucket by bucket, on one shared shuffle, like ``previous_by``.
+    Hot keys are cut into buckets like in ``previous_by``; keys are not null.
     """
     parts = [*keys, "_bucket"]
-    marked = df.withColumn("_bucket", bucket).repartition(*parts)
+    marked = _bucketed(df, keys, bucket, hot_rows)
     inside = Window.partitionBy(*parts).orderBy(order)
-    newest = F.when(F.col(column).isNotNull(), F.col(order))
-    tails = marked.groupBy(*parts).agg(F.max_by(F.struct(*df.columns), newest).alias("_tail"))
+    tails = (
+        marked.where("_bucket is not null")
+        .groupBy(*parts)
+        .agg(last_nonnull(column, F.col(order)).alias("_tail"))
+    )
     across = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = tails.select(
-        *parts, F.last(F.col("_tail")[column], ignorenulls=True).over(across).alias("_carry")
+        *parts, F.last("_tail", ignorenulls=True).over(across).alias("_carry")
     ).where("_carry is not null")
     filled = F.last(column, ignorenulls=True).over(inside)
     return (
         marked.withColumn("_own", filled)
-        .alias("rows")
-        .join(carried.alias("carried"), _all([_same(p) for p in parts]), "left")
+        .join(carried, parts, "left")
         .select(
-            *[F.col(f"rows.`{c}`") for c in df.columns if c != column],
-            F.coalesce("rows._own", "carried._carry").alias(column),
+            *[c for c in df.columns if c != column],
+            F.coalesce("_own", "_carry").alias(column),
         )
     )
 

@@ -98,15 +98,18 @@ def _located(df: DataFrame, inputs: Inputs) -> DataFrame:
 
 
 def facility_snapshots(inputs: Inputs) -> DataFrame:
-    """All snapshots of the active and inactive lists as one table."""
+    """All snapshots of the active and inactive lists as one table.
+
+    Rows without an id belong to no facility.
+    """
     if "snapshots" in inputs:
-        return trim_keys(inputs["snapshots"], FACILITY_KEYS)
+        return trim_keys(inputs["snapshots"], FACILITY_KEYS).where("facility_id is not null")
     lists = [
         inputs[n].withColumn("is_active", F.lit(n == "active"))
         for n in ("active", "inactive")
         if n in inputs
     ]
-    return trim_keys(union_all(*lists), FACILITY_KEYS)
+    return trim_keys(union_all(*lists), FACILITY_KEYS).where("facility_id is not null")
 
 
 def build_facility_history(inputs: Inputs) -> DataFrame:
@@ -222,7 +225,7 @@ def build_sk_pipelines(inputs: Inputs) -> DataFrame:
 
 def build_confidential_wells(inputs: Inputs) -> DataFrame:
     """Every well that was ever confidential, and whether it still is."""
-    listed = trim_keys(inputs["confidential"], ["uwi"])
+    listed = trim_keys(inputs["confidential"], ["uwi"]).where("uwi is not null")
     if "release_date" not in listed.columns:
         listed = listed.withColumn("release_date", F.lit(None).cast("string"))
     order = F.col("snapshot_date")
