@@ -176,6 +176,44 @@ def test_drilling_prefers_archive(frame):
     ]
 
 
+# aliases in GROUP BY and HAVING, scalar subqueries, NOT IN, windows, functions
+ANALYST_SQL = [
+    """SELECT trim(licensee) AS operator, count(*) AS total,
+         sum(CASE WHEN mode = 'ABD' THEN 1 ELSE 0 END) AS abandoned
+       FROM wells GROUP BY operator HAVING total >= 5 ORDER BY total DESC LIMIT 20""",
+    """SELECT p.province, w.fluid, round(sum(p.oil_prod_vol)) AS oil_m3
+       FROM production p JOIN wells w ON p.uwi = w.uwi
+       WHERE p.productionmonth >= (SELECT min(productionmonth) FROM production)::STRING
+       GROUP BY p.province, w.fluid HAVING oil_m3 > 0""",
+    """SELECT uwi, name FROM wells
+       WHERE uwi NOT IN (SELECT DISTINCT uwi FROM v_latest_production)""",
+    """SELECT s.uwi, months_crossed(s.spud_date, CAST(min(p.productionmonth) || '-01' AS DATE)) AS m
+       FROM spud_activity s JOIN production p ON s.uwi = p.uwi AND p.oil_prod_vol > 0
+       GROUP BY s.uwi, s.spud_date ORDER BY m LIMIT 50""",
+    """SELECT uwi, productionmonth, lag(oil_prod_vol) OVER (PARTITION BY uwi
+         ORDER BY productionmonth) AS prev FROM production""",
+    """SELECT * FROM well_licences WHERE issue_date >=
+         (SELECT max(issue_date) FROM well_licences) - INTERVAL '90' DAY""",
+    "SELECT normalize_operator_name(display_name) FROM operator_groups",
+    "SELECT event_type, count(*) FROM v_new_activity GROUP BY ALL",
+]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, table):
+    wells = table("wells")
+    counts = table("production").groupBy("uwi").agg(F.count(F.lit(1)).alias("months"))
+    sinks.write_bucketed(wells, "wells_by_uwi", buckets=4)
+    sinks.write_bucketed(counts, "months_by_uwi", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("wells_by_uwi").join(spark.table("months_by_uwi"), "uwi")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == counts.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pipeline_end_to_end(spark, table, tmp_path):
     """Bronze, silver, views and export; a re-run of one month replaces it only."""
     root = str(tmp_path)
@@ -221,6 +259,9 @@ def test_pipeline_end_to_end(spark, table, tmp_path):
     sinks.register_views(spark, root)
     assert spark.sql(total).first()[0] == before + len(kept)
 
+    for sql in ANALYST_SQL:
+        assert spark.sql(sql).count() > 0, sql
+
     paths = sinks.export(spark, ["wells"], "csv", str(tmp_path / "out"))
     paths += sinks.export(spark, ["v_operator_scorecard"], "parquet", str(tmp_path / "out"))
     assert spark.read.csv(paths[0], header=True).count() == table("part").count()

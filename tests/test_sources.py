@@ -283,6 +283,32 @@ def test_table_rows_of_split_files(spark, put):
     ]
 
 
+def test_uniform_table_is_one_scan(spark, put, tmp_path):
+    header = "ProductionMonth,ActivityID,ProductID,Volume,FromToID\n"
+    put("u/a.csv", header + '2024-01,PROD,OIL,"1.5",A\n2024-01,PROD\n')
+    put("u/b.csv", header + "2024-02,PROD,GAS,2.5,B,too,wide\n2024-02,PROD,GAS,3.5,C\n")
+    got = tables.read_volumetric(spark, str(tmp_path / "u"), uniform=True)
+    rows = [tuple(r) for r in got.select("productionmonth", "volume", "from_to_id").collect()]
+    assert sorted(rows, key=repr) == [
+        ("2024-01", "1.5", "A"), ("2024-01", None, None), ("2024-02", "3.5", "C"),
+    ]
+    both = tables.read_volumetric(spark, str(tmp_path / "u"))
+    again = both.select("productionmonth", "volume", "from_to_id").collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(rows, key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_uniform_table_refuses_another_header(spark, put, tmp_path):
+    put("u/a.csv", "UWI,Operator\nU1,A\n")
+    put("u/b.csv", "Operator,UWI\nB,U2\n")
+    aliases = {"uwi": ["uwi"], "operator": ["operator"]}
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_uniform_table(spark, str(tmp_path / "u"), aliases).collect()
+    got = tables.read_table(spark, str(tmp_path / "u"), aliases)
+    assert pairs(got, "uwi", "operator") == [("U1", "A"), ("U2", "B")]
+
+
 def test_status_changes(spark, put):
     path = put(
         "2026-02-21_WeeklyStatusChangesReport.csv",

@@ -271,6 +271,13 @@ WELLS_RENAMES = {
 WELLS_DATES = ["stat_date", "drill_date", "licence_issue_date"]
 WELL_ATTRIBUTE_DATES = ["well_stat_date", "fin_drl_date", "licence_issue_date"]
 
+# source tags of drilling events; the last in order wins for a well and day
+DRILLING_SOURCES = {
+    "weekly": "st2_drilling",
+    "daily": "st49_spud",
+    "archive": "st49_spud_archive",
+}
+
 # --- data quality -----------------------------------------------------------
 MAX_NULL_SHARE = 0.5
 MIN_UWI_SHARE = 0.5

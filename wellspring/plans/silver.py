@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.constants import (
+    DRILLING_SOURCES,
     STATUS_CHANGE_ALIASES,
     VOLUMETRIC_ALIASES,
     VOLUMETRIC_KEYS,
@@ -349,14 +350,6 @@ def build_status_changes(inputs: Inputs, tiebreak: Sequence[str] = ()) -> DataFr
     return drop_metadata(events).drop("snapshot_date")
 
 
-# later names win when two sources report the same well and day
-DRILLING_SOURCES = {
-    "weekly": "st2_drilling",
-    "daily": "st49_spud",
-    "archive": "st49_spud_archive",
-}
-
-
 def build_drilling_activity(inputs: Inputs, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Drilling and spud events of all sources, the preferred one per well and day."""
 

@@ -123,6 +123,11 @@ def register_functions(spark: SparkSession) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION normalize_operator_name(name STRING)"
         f" RETURNS STRING RETURN upper(trim({body}))"
     )
+    # Spark's own datediff(MONTH, ...) counts whole months
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION months_crossed(start DATE, finish DATE)"
+        " RETURNS INT RETURN (year(finish) - year(start)) * 12 + month(finish) - month(start)"
+    )
 
 
 def register_views(

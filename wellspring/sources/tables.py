@@ -163,9 +163,9 @@ def read_uniform_table(
 ) -> DataFrame:
     """Canonical columns from files that all have the same header, in one pass.
 
-    The built-in CSV source reads only the columns that are used and checks the
-    header of every file; a file with another header fails the job instead of
-    shifting its columns. Use ``read_table`` for files that differ.
+    The built-in CSV source checks the header of every file; a file with another
+    header fails the job instead of shifting its columns. Use ``read_table`` for
+    files that differ.
     """
     options = {"sep": sep, "header": True, "encoding": encoding, "escape": '"'}
     if sep != ",":
@@ -177,6 +177,8 @@ def read_uniform_table(
         spark.read.options(**options)
         .option("columnNameOfCorruptRecord", bad)
         .option("enforceSchema", False)
+        # the width of a line is only seen when all its cells are parsed
+        .option("columnPruning", False)
         .schema(schema)
         .csv(path)
     )

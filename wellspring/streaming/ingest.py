@@ -203,12 +203,20 @@ def start_amendments(
 def dedupe_events(events: DataFrame, keys: Sequence[str], time: str, late: str) -> DataFrame:
     """First event of each key; repeats may arrive up to ``late`` afterwards.
 
-    Works on streams and, without the bound, on tables.
+    Works on streams and, without the bound, on tables. On a stream every
+    source task drops its own repeats before the keys meet, so a key that holds
+    much of a batch reaches its final task as a few rows.
     """
     stamped = events.withColumn(time, F.col(time).cast("timestamp"))
     if not events.isStreaming:
         return latest_by(stamped, list(keys), [time, *sorted(set(events.columns) - {time, *keys})])
-    return stamped.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+    return (
+        stamped.withWatermark(time, late)
+        .withColumn("_task", F.spark_partition_id())
+        .dropDuplicatesWithinWatermark([*keys, "_task"])
+        .drop("_task")
+        .dropDuplicatesWithinWatermark(list(keys))
+    )
 
 
 def activity_counts(
