@@ -16,6 +16,19 @@ from wellspring.functions.identifiers import legal_key
 from wellspring.operators.keyed import latest_by
 
 
+HEADER_ROWS = 50_000
+BLOCK_ROWS = 1_000_000
+
+
+def broadcast_up_to(df: DataFrame, rows: int | None, limit: int) -> DataFrame:
+    """Broadcast a table whose row count is known and small; else leave it be.
+
+    For lookups that are derived from the big side itself, which the planner
+    takes to be as big as that side.
+    """
+    return F.broadcast(df) if rows is not None and rows <= limit else df
+
+
 def enrich_geo(df: DataFrame, geo: DataFrame) -> DataFrame:
     """Facility coordinates by facility_id."""
     one_each = geo.groupBy("facility_id").agg(

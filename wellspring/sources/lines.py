@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.text import best_encoding, decode_text, has_undefined_cp1252
+from wellspring.operators.joins import BLOCK_ROWS, broadcast_up_to
 from wellspring.session import shared_folder
 
 LINE_SCHEMA = "file string, member string, line_no bigint, value string"
@@ -74,6 +75,8 @@ def numbered_text(raw: DataFrame, encoding: str | None = None) -> DataFrame:
         (F.coalesce(F.sum("lines").over(before), F.lit(0)) - F.col("first_id")).alias("shift"),
         chosen.alias("encoding"),
     )
+    # one row per file block; the staged rows make counting them cheap
+    starts = broadcast_up_to(starts, blocks.count(), BLOCK_ROWS)
     return raw.join(starts, ["file", "block"]).select(
         "file",
         F.lit("").alias("member"),
@@ -90,6 +93,11 @@ def _widest(encodings: Column) -> Column:
     )
 
 
+def file_count(spark: SparkSession, path: str | Sequence[str]) -> int:
+    """How many files a path lists; the driver holds that list anyway."""
+    return len(spark.read.text(path).inputFiles())
+
+
 def number_lines(
     df: DataFrame, keys: Sequence[str], order: str, bucket: Column
 ) -> DataFrame:

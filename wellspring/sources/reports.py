@@ -26,8 +26,9 @@ from wellspring.constants import (
 from wellspring.functions.names import normalize_name_column
 from wellspring.functions.text import file_date
 from wellspring.functions.values import coerce_date
+from wellspring.operators.joins import HEADER_ROWS, broadcast_up_to
 from wellspring.operators.keyed import carry_forward, latest_by, look_ahead, previous_by
-from wellspring.sources.lines import read_lines
+from wellspring.sources.lines import file_count, read_lines
 
 FILE = ["file", "member"]
 FACILITY_REPORT_COLUMNS = [
@@ -45,7 +46,9 @@ def _found(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def parse_facility_report(
-    lines: DataFrame, columns: Sequence[str] = tuple(FACILITY_REPORT_COLUMNS)
+    lines: DataFrame,
+    columns: Sequence[str] = tuple(FACILITY_REPORT_COLUMNS),
+    files: int | None = None,
 ) -> DataFrame:
     """Facility list below a page header, separated by tabs or wide gaps.
 
@@ -83,7 +86,7 @@ def parse_facility_report(
         ],
     )
     cells = (
-        lines.join(positions, FILE)
+        lines.join(broadcast_up_to(positions, files, HEADER_ROWS), FILE)
         .where("line_no > _head_no")
         .withColumn("_cells", F.split(F.col("value"), F.col("_sep")))
         .where("size(_cells) <= _width")
@@ -99,7 +102,7 @@ def parse_facility_report(
 
 
 def read_facility_report(spark: SparkSession, path) -> DataFrame:
-    return parse_facility_report(read_lines(spark, path))
+    return parse_facility_report(read_lines(spark, path), files=file_count(spark, path))
 
 
 # --- licences ---------------------------------------------------------------

@@ -39,7 +39,8 @@ from wellspring.functions.text import (
     file_year,
 )
 from wellspring.functions.values import coerce_dates
-from wellspring.sources.lines import file_encoding, read_lines
+from wellspring.operators.joins import HEADER_ROWS, broadcast_up_to
+from wellspring.sources.lines import file_count, file_encoding, read_lines
 
 FILE = ["file", "member"]
 QUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -98,10 +99,15 @@ def table_from_lines(
     aliases: Mapping[str, Sequence[str]],
     sep: str = ",",
     name_rule=normalize_name_column,
+    files: int | None = None,
 ) -> DataFrame:
-    """Canonical columns from numbered lines whose line 0 is the header."""
+    """Canonical columns from numbered lines whose line 0 is the header.
+
+    ``files`` is the number of files, if the caller knows it.
+    """
     split = lines.where(F.trim("value") != "").withColumn("_cells", cells_of(F.col("value"), sep))
     headers = _positions(split.where("line_no = 0"), aliases, name_rule)
+    headers = broadcast_up_to(headers, files, HEADER_ROWS)
     data = split.where("line_no > 0").join(headers, FILE)
     return _pick(data, aliases, [*FILE, "line_no"])
 
@@ -140,6 +146,7 @@ def read_table(
     placed = headers.select(*FILE, "_header", "encoding").join(
         _positions(headers, aliases, name_rule), FILE
     )
+    placed = broadcast_up_to(placed, len(raw.inputFiles()), HEADER_ROWS)
     data = (
         raw.join(placed, FILE)
         .where((F.col("value") != F.col("_header")) & (F.trim("value") != ""))
@@ -297,7 +304,7 @@ WELL_LIST_ALIASES = {c: [c] for c in WELL_LIST_COLUMNS} | {
 }
 
 
-def parse_well_list(lines: DataFrame) -> DataFrame:
+def parse_well_list(lines: DataFrame, files: int | None = None) -> DataFrame:
     """The well list: tab separated, positional unless the first line is a header.
 
     The first line of a file gives its width: wider lines are left out, cells
@@ -330,6 +337,7 @@ def parse_well_list(lines: DataFrame) -> DataFrame:
         ],
     )
     known = len(WELL_LIST_COLUMNS)
+    widths = broadcast_up_to(widths, files, HEADER_ROWS)
     data = (
         split.join(widths, FILE)
         .where(~F.col("_has_header") | (F.col("line_no") > 0))
@@ -345,7 +353,7 @@ def parse_well_list(lines: DataFrame) -> DataFrame:
 
 
 def read_well_list(spark: SparkSession, path) -> DataFrame:
-    return parse_well_list(read_lines(spark, path, "latin-1"))
+    return parse_well_list(read_lines(spark, path, "latin-1"), file_count(spark, path))
 
 
 # --- provincial statistics --------------------------------------------------
