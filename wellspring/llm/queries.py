@@ -23,6 +23,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages.digests(dedup_passages.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import near_documents
+
+    return near_documents.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import sharding
