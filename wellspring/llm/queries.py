@@ -16,6 +16,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import near_vectors
+
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import dedup_passages
