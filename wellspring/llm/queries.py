@@ -23,6 +23,13 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import dedup_passages
