@@ -159,7 +159,7 @@ def cutting_stock(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tupl
     basis = np.diag((room // sizes).astype(np.float64))
     inverse = np.diag(1.0 / np.diag(basis))
     least = float((sizes * counts).sum()) / room
-    for step in range(20 * m + 1):
+    for _ in range(20 * m + 1):
         uses = inverse @ counts
         prices = inverse.sum(axis=0)
         value, pattern = best_pattern(prices, sizes, room)
@@ -174,12 +174,9 @@ def cutting_stock(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tupl
         ratios = np.where(able, np.maximum(uses, 0) / np.where(able, column, 1), np.inf)
         out = int(ratios.argmin())
         basis[:, out] = pattern
-        if step % 50 == 49:
-            inverse = np.linalg.inv(basis)
-        else:
-            row = inverse[out] / column[out]
-            inverse -= np.outer(column, row)
-            inverse[out] = row
+        row = inverse[out] / column[out]
+        inverse -= np.outer(column, row)
+        inverse[out] = row
     uses = np.maximum(inverse @ counts, 0)
     return [(basis[:, k].astype(np.int64), float(u)) for k, u in enumerate(uses) if u > 1e-9]
 
