@@ -1,21 +1,22 @@
 """Removal of passages that occur more than once, by doubling window lengths.
 
-A window of ``window`` words repeats only if both its halves repeat. So windows
-of half the length are looked at first, and only those that occur twice are
-extended to the full length:
-
-* Half windows are sampled by content: each full window is represented by the
-  half window with the smallest hash inside it, so equal windows name the same
-  half. Neighbouring windows mostly share it; they form a *run*.
-* Half windows that occur once end there, with all runs they stand for.
-* Runs whose half repeats are extended. A run that occurs elsewhere as a whole
-  repeats in every window and is not opened. Only runs with a repeated half but
-  other surroundings are opened and compared window by window, next to one
-  copy of each repeated run with the same half.
+Lengths double from a quarter of the window (9, 18, 35 for 35): a window can
+only repeat if its parts do, so what occurs once at a short length alone is
+dropped there, and only the rest is extended.
+
+* Short windows are sampled by content: each full window is represented by the
+  short window with the smallest hash inside it, its *seed*, so equal windows
+  name the same seed. Neighbouring windows mostly share it; they form a *run*.
+* Seeds that occur once end there, with all runs they stand for.
+* Other runs are extended to both sides of the seed, over both doublings, to all
+  the words of their full windows. A run that occurs elsewhere as a whole repeats
+  in every window. Only runs with a repeated seed but other surroundings are
+  opened and compared window by window, next to one copy of each repeated run
+  with the same seed.
 
 All counting is a partial aggregate by hash before the shuffle, so a passage
 that occurs in a third of the documents is one row per task. No pairs are made.
-A window is identified by the 64-bit hashes of its half and of itself together.
+A window is identified by the 64-bit hashes of its seed and of itself together.
 
 Defined results: a null text has no words; texts shorter than the window lose
 nothing; repeats inside one text count as repeats; windows are judged on the
@@ -25,7 +26,6 @@ and not null.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -34,8 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.stages import saved
-from wellspring.llm.words import Stretches, mixed, signed, slices, window_starts, words
+from wellspring.llm.stages import discard, saved
+from wellspring.llm.words import (
+    Slice,
+    Stretches,
+    mixed,
+    packed_texts,
+    signed,
+    slices,
+    unpacked,
+    window_starts,
+    words,
+)
 
 WINDOW = 35
 
@@ -54,8 +64,8 @@ def smallest_within(h: np.ndarray, width: int) -> np.ndarray:
     return best[:n]
 
 
-def _runs(part, window: int, half: int):
-    """Runs of a slice: row, first window, windows, hash of the half, hash of the run."""
+def _runs(part: Slice, window: int, length: int):
+    """Runs of a slice: row, first window, windows, hash of the seed, hash of the run."""
     w = words(part)
     if len(w.hashes) < window:
         return None
@@ -63,106 +73,114 @@ def _runs(part, window: int, half: int):
     starts, rows = window_starts(w.first, window)
     if not len(starts):
         return None
-    halves = stretch(np.arange(len(w.hashes) - half + 1), half)
-    named = smallest_within(halves, window - half + 1)[starts]
+    seeds = stretch(np.arange(len(w.hashes) - length + 1), length)
+    named = smallest_within(seeds, window - length + 1)[starts]
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (named[1:] != named[:-1]) | (rows[1:] != rows[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(starts)))
     begin = starts[first]
     whole = stretch(begin, count + window - 1)
-    # two runs are equal if their words are and the half stands at the same place
+    # two runs are equal if their words are and the seed stands at the same place
     place = (named[first] - begin).astype(np.uint64) * np.uint64(1 << 20)
     whole = mixed(whole ^ mixed(place + count.astype(np.uint64)))
     own = rows[first]
-    return own, begin - w.first[own], count, halves[named[first]], whole
+    return own, begin - w.first[own], count, seeds[named[first]], whole
 
 
 def runs(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    half = -(-window // 2)
+    length = -(-window // 4)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for part in slices(batch.column(1)):
-                got = _runs(part, window, half)
+                got = _runs(part, window, length)
                 if got is None:
                     continue
-                row, begin, count, h, whole = got
+                row, begin, count, seed, whole = got
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(row + part.first)),
-                        pa.array(begin.astype(np.int32)),
-                        pa.array(count.astype(np.int32)),
-                        pa.array(signed(h)),
+                        pa.array(begin * window + count),
+                        pa.array(signed(seed)),
                         pa.array(signed(whole)),
                     ],
-                    names=["id", "begin", "n", "half", "run"],
+                    names=["id", "at", "seed", "run"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
-        found, f"id {kind}, begin int, n int, half long, run long"
+        found, f"id {kind}, at long, seed long, run long"
     )
 
 
 def judged(all_runs: DataFrame) -> DataFrame:
-    """Runs whose half repeats, each with whether it is repeated and to be opened."""
-    kinds = all_runs.groupBy("half", "run").agg(
+    """Runs whose seed repeats, each with whether it is repeated and to be opened."""
+    seeds = all_runs.groupBy("seed").agg(F.count("*").alias("times")).where("times > 1")
+    alive = saved(all_runs.join(seeds.select("seed"), "seed", "left_semi"), "passages-alive")
+    discard(all_runs)
+    kinds = alive.groupBy("seed", "run").agg(
         F.count("*").alias("times"), F.min("id").alias("sample")
     )
-    halves = (
-        kinds.groupBy("half")
-        .agg(F.sum("times").alias("total"), F.count("*").alias("kinds"))
-        .where("total > 1")
-        .drop("total")
-    )
-    known = kinds.join(halves, "half").select(
-        "half", "run", (F.col("times") > 1).alias("repeated"), "sample",
-        (F.col("kinds") > 1).alias("mixed"),
+    several = kinds.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    known = kinds.join(several, "seed", "left").select(
+        "seed", "run", (F.col("times") > 1).alias("repeated"), "sample",
+        F.col("kinds").isNotNull().alias("mixed"),
     )
-    return all_runs.join(known, ["half", "run"]).select(
-        "id", "begin", "n", "half", "repeated",
-        (F.col("mixed") & (~F.col("repeated") | (F.col("id") == F.col("sample")))).alias("open"),
+    marked = saved(
+        alive.join(known, ["seed", "run"]).select(
+            "id", "at", "seed", "repeated",
+            (F.col("mixed") & (~F.col("repeated") | (F.col("id") == F.col("sample")))).alias("open"),
+        ),
+        "passages-judged",
     )
+    discard(alive)
+    return marked
 
 
 def opened(docs: DataFrame, marked: DataFrame, key: str, text: str, window: int) -> DataFrame:
     """Windows of the runs to be opened, with their hash."""
     kind = docs.schema[key].dataType.simpleString()
     wanted = marked.where("open").groupBy("id").agg(
-        F.collect_list(F.struct("begin", "n", "half", "repeated")).alias("runs")
+        F.collect_list(F.struct("at", "seed", "repeated")).alias("runs")
     )  # bounded by the words of one text
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(wanted, "id")
+    rows = packed_texts(docs, key, text).join(wanted, "id")
+
+    def parts(bodies: pa.Array) -> Iterator[tuple[int, Slice]]:
+        for begin, texts in unpacked(bodies):
+            for part in slices(texts):
+                yield begin + part.first, part
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, listed = batch.column(0), batch.column(2)
-            for part in slices(batch.column(1)):
+            for base, part in parts(batch.column(1)):
                 w = words(part)
                 stretch = Stretches(w.hashes)
-                own = listed.slice(part.first, part.rows)
+                own = listed.slice(base, part.rows)
                 flat = own.flatten()
                 row = np.repeat(np.arange(part.rows), np.diff(own.offsets.to_numpy()))
-                begin, n, half, repeated = (
+                both, seed, repeated = (
                     f.to_numpy(zero_copy_only=False) for f in flat.flatten()
                 )
+                begin, n = both // window, both % window
                 steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = np.repeat(begin, n) + steps
                 row = np.repeat(row, n)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(row + part.first)),
+                        ids.take(pa.array(row + base)),
                         pa.array(at.astype(np.int32)),
-                        pa.array(np.repeat(half, n)),
+                        pa.array(np.repeat(seed, n)),
                         pa.array(signed(stretch(w.first[row] + at, window))),
                         pa.array(np.repeat(repeated, n)),
                     ],
-                    names=["id", "begin", "half", "full", "repeated"],
+                    names=["id", "begin", "seed", "full", "repeated"],
                 )
 
-    return rows.select("id", "text", "runs").mapInArrow(
-        windows, f"id {kind}, begin int, half long, full long, repeated boolean"
+    return rows.select("id", "body", "runs").mapInArrow(
+        windows, f"id {kind}, begin int, seed long, full long, repeated boolean"
     )
 
 
@@ -170,16 +188,20 @@ def repeated_spans(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
     """Word ranges (key, begin, length) made of windows that also start elsewhere."""
-    marked = saved(judged(saved(runs(docs, key, text, window), "passages-runs")), "passages-judged")
+    marked = judged(saved(runs(docs, key, text, window), "passages-runs"))
     single = saved(opened(docs, marked, key, text, window), "passages-windows")
     again = (
-        single.groupBy("half", "full")
+        single.groupBy("seed", "full")
         .agg(F.sum(F.when(F.col("repeated"), 2).otherwise(1)).alias("times"))
         .where("times > 1")
         .drop("times")
     )
-    whole = marked.where("repeated").select("id", "begin", (F.col("n") + (window - 1)).alias("length"))
-    parts = single.where("not repeated").join(again, ["half", "full"], "left_semi")
+    whole = marked.where("repeated").select(
+        "id",
+        F.floor(F.col("at") / window).cast("int").alias("begin"),
+        (F.col("at") % window + (window - 1)).cast("int").alias("length"),
+    )
+    parts = single.where("not repeated").join(again, ["seed", "full"], "left_semi")
     return whole.unionByName(parts.select("id", "begin", F.lit(window).alias("length"))).select(
         F.col("id").alias(key), "begin", "length"
     )
@@ -193,58 +215,46 @@ def remove_repeats(
     spans = repeated_spans(docs, key, text, window).groupBy(key).agg(
         F.collect_list(F.struct("begin", "length")).alias("spans")
     )  # bounded by the words of one text
-    rows = docs.select(key, text).join(spans, key, "left").select(key, text, "spans")
+    rows = packed_texts(docs, key, text).join(spans.withColumnRenamed(key, "id"), "id", "left")
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, listed = batch.column(1), batch.column(2)
-            total, removed, kept = [], [], []
-            for k in range(batch.num_rows):
-                value = texts[k].as_py()
-                own = (value or "").encode().split()
-                gone = 0
-                if (spans := listed[k]).is_valid and len(spans):
-                    begin, length = (
-                        f.to_numpy(zero_copy_only=False) for f in spans.values.flatten()
-                    )
-                    change = np.bincount(begin, minlength=len(own) + 1).astype(np.int64)
-                    change -= np.bincount(begin + length, minlength=len(own) + 1)
-                    keep = np.cumsum(change[:-1]) == 0
-                    gone = len(own) - int(keep.sum())
-                    left = b" ".join(compress(own, keep.tolist()))
-                else:
-                    left = b" ".join(own)
-                total.append(len(own))
-                removed.append(gone)
-                kept.append(left.decode())
-                if sum(map(len, kept[-1:])) > (1 << 20) or len(kept) >= 512:
-                    yield _cleaned(batch.column(0), k, total, removed, kept)
-                    total, removed, kept = [], [], []
-            if kept:
-                yield _cleaned(batch.column(0), batch.num_rows - 1, total, removed, kept)
-
-    return rows.mapInArrow(cleaned, f"{key} {kind}, n_words long, n_removed long, kept string")
-
-
-def _cleaned(ids: pa.Array, last: int, total, removed, kept) -> pa.RecordBatch:
-    n = len(kept)
-    return pa.RecordBatch.from_arrays(
-        [
-            ids.slice(last - n + 1, n),
-            pa.array(total, pa.int64()),
-            pa.array(removed, pa.int64()),
-            pa.array(kept, pa.string()),
-        ],
-        names=["id", "n_words", "n_removed", "kept"],
+            listed = batch.column(2)
+            for first, texts in unpacked(batch.column(1)):
+                done = [
+                    _without(texts[k].as_buffer(), listed[first + k]) for k in range(len(texts))
+                ]
+                total, removed, kept = zip(*done)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, len(done)),
+                        pa.array(total, pa.int64()),
+                        pa.array(removed, pa.int64()),
+                        pa.array(kept, pa.binary()).cast(pa.string()),
+                    ],
+                    names=[key, "n_words", "n_removed", "kept"],
+                )
+
+    return rows.select("id", "body", "spans").mapInArrow(
+        cleaned, f"{key} {kind}, n_words long, n_removed long, kept string"
     )
 
 
+def _without(text: pa.Buffer, spans: pa.ListScalar) -> tuple[int, int, bytes]:
+    """Number of words, number removed, and the words outside the spans."""
+    own = text.to_pybytes().split()
+    if not spans.is_valid or not len(spans):
+        return len(own), 0, b" ".join(own)
+    begin, length = (f.to_numpy(zero_copy_only=False) for f in spans.values.flatten())
+    change = np.bincount(begin, minlength=len(own) + 1).astype(np.int64)
+    change -= np.bincount(begin + length, minlength=len(own) + 1)
+    keep = np.cumsum(change[:-1]) == 0
+    kept = int(keep.sum())
+    return len(own), len(own) - kept, b" ".join(compress(own, keep.tolist()))
+
+
 def digests(cleaned: DataFrame) -> DataFrame:
     """The kept words as their SHA-256."""
     return cleaned.select(
         *[c for c in cleaned.columns if c != "kept"], F.sha2("kept", 256).alias("kept_sha256")
     )
-
-
-def digest_of(kept: list[str]) -> str:
-    return hashlib.sha256(" ".join(kept).encode()).hexdigest()

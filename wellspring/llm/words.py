@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Texts are handled in slices of about this many bytes, so that the working
 #: arrays stay small; a longer text is a slice of its own.
@@ -150,6 +152,42 @@ def window_starts(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     ), rows
 
 
+def packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, body): texts compressed one by one, for shuffles that carry them. Null is empty."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 1)
+        for batch in batches:
+            bodies = []
+            for value in batch.column(1):
+                raw = value.as_buffer() if value.is_valid else b""
+                bodies.append(len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(bodies, pa.binary())], names=["id", "body"]
+            )
+
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
+        packed, f"id {kind}, body binary"
+    )
+
+
+def unpacked(bodies: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of a column made by packed_texts, some bytes at a time."""
+    codec = pa.Codec("zstd", 1)
+    first, texts, size = 0, [], 0
+    for k, value in enumerate(bodies):
+        raw = value.as_buffer()
+        n = int.from_bytes(raw[:8].to_pybytes(), "little")
+        texts.append(codec.decompress(raw[8:], decompressed_size=n).to_pybytes() if n else b"")
+        size += n
+        if size >= SLICE_BYTES or len(texts) >= 4096:
+            yield first, pa.array(texts, pa.large_binary()).cast(pa.large_string())
+            first, texts, size = k + 1, [], 0
+    if texts:
+        yield first, pa.array(texts, pa.large_binary()).cast(pa.large_string())
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return np.ascontiguousarray(x).view(np.int64)
