@@ -37,6 +37,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages.digests(dedup_passages.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import languages
+
+    return languages.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import leaks
+
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import near_documents
