@@ -23,6 +23,13 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import personal_data
+
+    return personal_data.digest(personal_data.all_spans(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import packing
