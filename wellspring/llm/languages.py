@@ -165,9 +165,28 @@ def predicted(docs: DataFrame, model: Mixtures, key: str = "doc_id", text: str =
     )
 
 
+def training(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(text, lang) of the rows that are not held out."""
+    return docs.where(remainder(key, 4) != 2).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang")
+    )
+
+
+def determined(docs: DataFrame, model: Mixtures, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language can be told."""
+    at = docs.columns.index(text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = [model.predict(t.as_py())[0] != UNKNOWN for t in batch.column(at)]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """key, held_out, lang_pred, score and mixture; rows with remainder 2 of 4 are held out."""
-    train = docs.where(remainder(key, 4) != 2).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    return predicted(docs, learned(train), key, text).withColumn(
+    model = learned(training(docs, key, text, lang))
+    return predicted(docs, model, key, text).withColumn(
         "held_out", F.coalesce(remainder(key, 4) == 2, F.lit(False))
     )
