@@ -31,10 +31,10 @@ from wellspring.llm.words import mixed, slices, words
 
 WINDOW, STRIDE = 24, 16
 SAMPLE = 2_000
-TEXT_BYTES = 3_000
+TEXT_BYTES = 6_000
 WORD_ROWS, PART_ROWS = 1 << 13, 1 << 14
 DIMS, HIDDEN = 12, 8
-WARM_EPOCHS, EPOCHS, BATCH, RATE = 2, 4, 64, 0.01
+WARM_EPOCHS, EPOCHS, BATCH, RATE = 3, 5, 64, 0.01
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -90,9 +90,8 @@ class Network:
         rng = np.random.default_rng(seed)
         near = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
         self.p = {
-            # small, so that what was not seen in training says next to nothing
-            "word": near(WORD_ROWS, DIMS) * 0.05,
-            "part": near(PART_ROWS, DIMS) * 0.1,
+            "word": near(WORD_ROWS, DIMS) * 0.3,
+            "part": near(PART_ROWS, DIMS),
             "into": near(DIMS, 6 * HIDDEN),
             "into_bias": np.zeros(6 * HIDDEN, np.float32),
             "again": near(2, HIDDEN, 3 * HIDDEN),
