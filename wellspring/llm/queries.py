@@ -89,3 +89,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import language_model
+
+    return language_model.scores(table(spark, sf_dir, "documents"))
