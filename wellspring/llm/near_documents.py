@@ -7,10 +7,14 @@
    a third of all rows being copies is one row.
 3. Bands of consecutive bins name buckets. Each bucket gives one edge per
    member, to its first document (a star), not one per pair.
-4. Edges are confirmed on the full sets, and components are formed. Where a
-   bucket still holds several components, the members outside its main
-   component are each confirmed against the members of other components, so
-   that every pair that shares a bucket ends in one component or was compared.
+4. Pairs whose one-bit signatures differ in more than ``MAX_BITS`` bins are
+   dropped (at the bound 25 are expected, with a deviation below 5); the others
+   are confirmed on the full sets, and components are formed.
+5. Where a bucket still holds several components, more stars follow from other
+   centres, and all remaining pairs between components in buckets of no more than
+   ``SMALL`` members. A link can be missed only in larger buckets, between two
+   members that are similar to each other but neither to any centre of the
+   buckets they share nor, through others, connected.
 
 A pair at the similarity bound shares no bucket with probability below 3e-6.
 
@@ -31,10 +35,26 @@ from pyspark.sql import functions as F
 
 from wellspring.llm.graph import components
 from wellspring.llm.stages import saved
-from wellspring.llm.words import Slice, Stretches, mixed, signed, slices, window_starts, words
+from wellspring.llm.words import (
+    Slice,
+    Stretches,
+    mixed,
+    packed_texts,
+    signed,
+    slices,
+    unpacked,
+    window_starts,
+    words,
+)
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
+MAX_BITS = 60
+#: Stars of a bucket, the first included.
+STARS = 3
+#: Buckets in which all pairs of different components are compared at last: no
+#: more than half as many pairs per member.
+SMALL = 24
 
 
 def shingles(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +104,15 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return keys
 
 
+def one_bit(signature: np.ndarray) -> np.ndarray:
+    """One bit per bin, in 64-bit words (n, words)."""
+    own = np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+    bits = (mixed(signature ^ own[None, :]) >> np.uint64(63)).astype(np.uint8)
+    return np.packbits(np.pad(bits, ((0, 0), (0, -BINS % 64))), axis=1).view(np.uint64)
+
+
 def profiles(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """id, n shingles, two sums that identify the set, and the keys of the bands."""
+    """id, n shingles, two sums that identify the set, keys of the bands, one-bit signature."""
     kind = docs.schema[key].dataType.simpleString()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +129,13 @@ def profiles(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                     sums.append(upto[ends] - upto[ends - n])
                 full = np.flatnonzero(n)
                 rank = np.cumsum(n > 0) - 1
-                keys = band_keys(bins_of(rank[rows], hashes, len(full)))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(n > 0))) * BANDS, pa.int32()),
-                    pa.array(signed(keys.reshape(-1))),
+                signature = bins_of(rank[rows], hashes, len(full))
+                upto = np.concatenate(([0], np.cumsum(n > 0)))
+                keys, bits = (
+                    pa.ListArray.from_arrays(
+                        pa.array(upto * x.shape[1], pa.int32()), pa.array(signed(x.reshape(-1)))
+                    )
+                    for x in (band_keys(signature), one_bit(signature))
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -113,13 +143,14 @@ def profiles(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                         pa.array(n.astype(np.int64)),
                         pa.array(signed(sums[0])),
                         pa.array(signed(sums[1])),
-                        lists,
+                        keys,
+                        bits,
                     ],
-                    names=["id", "n", "d1", "d2", "bands"],
+                    names=["id", "n", "d1", "d2", "bands", "bits"],
                 )
 
     return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
-        found, f"id {kind}, n long, d1 long, d2 long, bands array<long>"
+        found, f"id {kind}, n long, d1 long, d2 long, bands array<long>, bits array<long>"
     )
 
 
@@ -129,16 +160,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: in
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(1)):
-                rows, hashes = shingles(part, width)
-                ends = np.searchsorted(rows, np.arange(part.rows + 1))
-                sets = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.rows), pa.array(sets, pa.binary())],
-                    names=["id", "hashes"],
-                )
+            for begin, texts in unpacked(batch.column(1)):
+                for part in slices(texts):
+                    rows, hashes = shingles(part, width)
+                    ends = np.searchsorted(rows, np.arange(part.rows + 1))
+                    sets = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+                    own = batch.column(0).slice(begin + part.first, part.rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [own, pa.array(sets, pa.binary())], names=["id", "hashes"]
+                    )
 
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = packed_texts(docs, key, text)
     return rows.join(wanted, "id", "left_semi").mapInArrow(found, f"id {kind}, hashes binary")
 
 
@@ -173,10 +205,19 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(confirmed, f"a {kinds['a']}, b {kinds['b']}")
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components that share a bucket."""
+def _close(percent: int):
+    """Whether two members m and h may be similar, by sizes and one-bit signatures."""
+    differing = sum(
+        F.bit_count(F.col(f"m.b{k}").bitwiseXOR(F.col(f"h.b{k}"))) for k in range(-(-BINS // 64))
+    )
+    least, most = F.least("m.n", "h.n"), F.greatest("m.n", "h.n")
+    return (100 * least >= percent * most) & (differing <= MAX_BITS)
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their component c."""
     named = members.join(labels, members["id"] == labels["node"], "left").select(
-        "band", "id", "n", F.coalesce("component", "id").alias("c")
+        *members.columns, F.coalesce("component", "id").alias("c")
     )
     several = (
         named.groupBy("band")
@@ -184,19 +225,42 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, percent: int) -> Dat
         .where("low < high")
         .select("band")
     )
-    named = saved(named.join(several, "band", "left_semi"), "near-mixed")
-    sizes = named.groupBy("band", "c").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("band").agg(F.max_by("c", F.struct("size", "c")).alias("main"))
-    hubs = (
-        named.join(main, "band")
-        .where("c <> main")
-        .select("band", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), "main")
+    return saved(named.join(several, "band", "left_semi"), "near-mixed")
+
+
+def _star_pairs(mixed_members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each bucket's centre of this turn with its members of other components."""
+    order = F.xxhash64("id", F.lit(turn))
+    centre = mixed_members.groupBy("band").agg(F.min(order).alias("order"))
+    hubs = mixed_members.withColumn("order", order).join(centre, ["band", "order"], "left_semi")
+    return _paired(mixed_members, hubs, F.col("m.c") != F.col("h.c"), percent)
+
+
+def _remaining_pairs(mixed_members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components that share a small bucket."""
+    sizes = mixed_members.groupBy("band", "c").agg(F.count("*").alias("size"))
+    main = (
+        sizes.groupBy("band")
+        .agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.sum("size").alias("all"))
+        .where(F.col("all") <= SMALL)
+        .drop("all")
     )
+    hubs = mixed_members.join(main, "band").where("c <> main")
+    return _paired(
+        mixed_members,
+        hubs,
+        (F.col("m.c") != F.col("h.c"))
+        & ((F.col("m.c") == F.col("h.main")) | (F.col("m.id") < F.col("h.id"))),
+        percent,
+    )
+
+
+def _paired(members: DataFrame, hubs: DataFrame, which, percent: int) -> DataFrame:
+    on = (F.col("m.band") == F.col("h.band")) & which & _close(percent)
     return (
-        named.join(hubs, "band")
-        .where("c <> hub_c and (c = main or id < hub)")
-        .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-        .select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        members.alias("m")
+        .join(hubs.alias("h"), on)
+        .select(F.greatest("m.id", "h.id").alias("a"), F.least("m.id", "h.id").alias("b"))
         .distinct()
     )
 
@@ -212,23 +276,31 @@ def near_duplicates(
     rows = saved(profiles(docs, key, text, width), "near-profiles")
     classes = rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("first"))
     firsts = rows.join(classes.select(F.col("first").alias("id")), "id", "left_semi")
-    buckets = firsts.select("id", "n", F.explode("bands").alias("band"))
+    bits = [F.element_at("bits", k + 1).alias(f"b{k}") for k in range(-(-BINS // 64))]
+    buckets = firsts.select("id", "n", *bits, F.explode("bands").alias("band"))
     shared = (
         buckets.groupBy("band")
-        .agg(F.min("id").alias("hub"), F.count("*").alias("size"))
+        .agg(F.min("id").alias("first_id"), F.count("*").alias("size"))
         .where("size > 1")
-        .select("band", "hub")
+        .select("band", "first_id")
     )
     members = saved(buckets.join(shared, "band"), "near-members")
+    stars = _paired(
+        members, members.where("id = first_id"), F.col("m.id") != F.col("h.id"), percent
+    )
     wanted = members.select("id").distinct()
     sets = saved(full_sets(docs, wanted, key, text, width), "near-sets")
-    stars = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    links = saved(similar(stars.distinct(), sets, percent), "near-links")
+    tested = saved(stars, "near-pairs")
+    links = saved(similar(tested, sets, percent), "near-links")
     labels = saved(components(links), "near-labels")
-    more = saved(_remaining_pairs(members, labels, percent), "near-pairs")
-    others = saved(similar(more.join(links, ["a", "b"], "left_anti"), sets, percent), "near-links")
-    if not others.isEmpty():
-        labels = saved(components(links.unionByName(others)), "near-labels")
+    rest = _mixed(members, labels)
+    pairs = _remaining_pairs(rest, percent)
+    for turn in range(1, STARS):
+        pairs = pairs.unionByName(_star_pairs(rest, turn, percent))
+    pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    more = saved(similar(pairs, sets, percent), "near-links")
+    if not more.isEmpty():
+        labels = saved(components(links.unionByName(more)), "near-labels")
     named = classes.join(labels, classes["first"] == labels["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "first").alias("component_id")
     )
