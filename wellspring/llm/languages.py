@@ -76,6 +76,8 @@ class Mixtures:
 
     def __init__(self, languages: list[str], totals: np.ndarray):
         self.languages = languages
+        if not languages:
+            return
         share = (totals + 0.5) / (totals.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
         self.likelihood = (share / share.max(axis=0)).T.astype(np.float32).copy()
 

@@ -93,9 +93,12 @@ class Index:
         self_score = np.bincount(slot, weight, len(hashed))
         weight = weight / self_score[slot]
         self.items = self._postings(term, slot, weight)
-        self.common = df > max(1, COMMON * len(hashed))
+        common = (df > max(1, COMMON * len(hashed)))[term]
         self.blocks_n = -(-len(hashed) // BLOCK_ITEMS)
-        common = self.common[term]
+        # an item made of common words keeps them all in the first pass, so that what
+        # is left out never reaches the threshold by itself
+        rest = np.bincount(slot[common], weight[common], len(hashed))
+        common &= (rest < 0.8 * THRESHOLD)[slot]
         rest = np.bincount(slot[common], weight[common], len(hashed))
         self.rest = np.zeros(self.blocks_n)
         np.maximum.at(self.rest, np.arange(len(hashed)) // BLOCK_ITEMS, rest)
