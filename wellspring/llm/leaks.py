@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from wellspring.llm.words import Stretches, slices, words
 
@@ -191,6 +192,7 @@ def leaks(
     """One row per document and item found in it, with score and overlaps."""
     kind = docs.schema[key].dataType.simpleString()
     item_kind = items.schema[item_key].dataType.simpleString()
+    item_type = to_arrow_type(items.schema[item_key].dataType)
     chosen = items.where(F.length(F.trim(item_text)) > 0).select(item_key, item_text)
     parts = -(-chosen.count() // ITEMS)
     schema = (
@@ -204,14 +206,14 @@ def leaks(
         index = Index([tuple(r) for r in rows if _hashes(r[1]).size])
         if not index.ids:
             continue
-        found = docs.select(key, text).mapInArrow(_searching(index), schema)
+        found = docs.select(key, text).mapInArrow(_searching(index, item_type), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         return docs.sparkSession.createDataFrame([], schema)
     return out
 
 
-def _searching(index: Index):
+def _searching(index: Index, item_type: pa.DataType):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(1)):
@@ -226,7 +228,7 @@ def _searching(index: Index):
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(rows)),
-                            pa.array(item),
+                            pa.array(item, item_type),
                             *[pa.array(f, pa.float64()) for f in figures[:4]],
                             pa.array(figures[4], pa.int64()),
                         ],
