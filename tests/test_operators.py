@@ -197,3 +197,20 @@ def test_drop_html(spark):
 
 def test_missing_and_extra():
     assert missing_and_extra(["a", "x", "province"], ["a", "b"], ["province"]) == (["b"], ["x"])
+
+
+def test_previous_row_does_not_depend_on_what_counts_as_hot(spark):
+    from pyspark.sql import functions as F
+
+    from wellspring.operators import keyed
+
+    rows = [("a", None, 0), ("a", "2024-01-05", 1), ("a", "2024-02-01", 2), ("b", None, 3), (None, None, 4)]
+    df = spark.createDataFrame(rows, "k string, d string, v int")
+    got = [
+        sorted(
+            map(tuple, keyed.previous_by(df, ["k"], ["d"], ["v"], F.substring("d", 1, 7), hot_rows=n).collect()),
+            key=str,
+        )
+        for n in (1, 5_000_000)
+    ]
+    assert got[0] == got[1] and ("a", "2024-01-05", 1, 0, True) in got[0]

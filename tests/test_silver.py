@@ -278,3 +278,18 @@ def test_one_failing_table_does_not_stop_the_others(spark, frame, tmp_path):
     )
     assert results["spud_activity"].startswith("error")
     assert results["well_licences"].endswith("silver/well_licences")
+
+
+def test_production_keeps_every_well_whatever_column_names_it(spark):
+    from wellspring.plans import silver
+
+    rows = [
+        ("w1", None, "2024-01", "PROD", "OIL", "9", "2024-02-01"),
+        ("w2", None, "2024-01", "PROD", "OIL", "100", "2024-02-01"),
+        (" w2 ", None, "2024-01", "PROD", "OIL", "7", "2024-03-01"),
+        (None, None, "2024-01", "PROD", "OIL", "1", "2024-02-01"),
+        (None, " ", "2024-01", "PROD", "OIL", "2", "2024-02-01"),
+    ]
+    names = "uwi string, from_to_id string, productionmonth string, activityid string, productid string, volume string, snapshot_date string"
+    made = silver.build_production({"ab": spark.createDataFrame(rows, names)}).collect()
+    assert {r.uwi: float(r.oil_prod_vol) for r in made} == {"w1": 9.0, "w2": 7.0, None: 3.0}

@@ -76,12 +76,15 @@ def _bucketed(
 ) -> DataFrame:
     """Add ``_bucket``: the given one for hot keys and null keys, else null.
 
+    A null bucket of a hot key is the lowest one, as nulls sort first.
+
     The list of hot keys is bounded by their own size (see ``hot_keys``), so it
     is broadcast and the rows stay where they are. Without hot keys adaptive
     execution drops the join, and with it every branch that only serves them.
     """
     hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
     spread = F.col("_hot") | _any_null(keys)
+    bucket = F.struct(bucket.isNotNull().alias("known"), bucket.alias("at"))
     return df.join(hot, list(keys), "left").select(
         *df.columns, F.when(spread, bucket).alias("_bucket")
     )

@@ -42,8 +42,7 @@ class Subject:
 
     @property
     def date_columns(self) -> list[str]:
-        named = [c for c in self.df.columns if "date" in c.lower() or "month" in c.lower()]
-        return named[:3]
+        return [c for c in self.df.columns if "date" in c.lower() or "month" in c.lower()]
 
     def as_date(self, column: str) -> Column:
         if dict(self.df.dtypes)[column] == "string":

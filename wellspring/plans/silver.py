@@ -168,15 +168,32 @@ def build_facility_status_changes(inputs: Inputs) -> DataFrame:
 # --- production -------------------------------------------------------------
 
 
+def _well(df: DataFrame) -> Column:
+    """The well of a submission, whichever column names it: blank ids are no ids."""
+    given = {c: F.nullif(F.trim(c), F.lit("")) for c in ("uwi", "from_to_id", "facility_id") if c in df.columns}
+    ranked = [given.get("uwi")]
+    if "from_to_id" in given:
+        ranked += [format_uwi(given["from_to_id"]), given["from_to_id"]]
+    ranked.append(given.get("facility_id"))
+    return F.coalesce(*[c for c in ranked if c is not None])
+
+
 def build_production(inputs: Inputs, tiebreak: Sequence[str] = ("volume",)) -> DataFrame:
-    """Monthly volumes per well: newest submission of each amendment key, pivoted."""
+    """Monthly volumes per well: newest submission of each amendment key, pivoted.
+
+    Submissions are amended per well, not per spelling of its id. Those without
+    any id can't amend each other, so all of them are kept.
+    """
     parts = [
         canonicalize(df, VOLUMETRIC_ALIASES) for df in _given(inputs, ab="AB", sk="SK")
     ]
     produced = activity(union_all(*parts))
-    current = latest_by(produced, VOLUMETRIC_KEYS, _newest(produced, tiebreak))
-    named = current.withColumn("uwi", F.coalesce("uwi", format_uwi(F.col("from_to_id"))))
-    return pivot_products(trim_keys(named, ["uwi"]))
+    produced = produced.withColumn("uwi", _well(produced))
+    keys = ["uwi", *VOLUMETRIC_KEYS[1:]]
+    current = latest_by(
+        produced.where("uwi is not null"), keys, _newest(produced, tiebreak)
+    ).unionByName(produced.where("uwi is null"))
+    return pivot_products(trim_keys(current, ["uwi"]))
 
 
 # --- pipelines --------------------------------------------------------------

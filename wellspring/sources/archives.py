@@ -29,13 +29,14 @@ def _is_html(data: bytes) -> bool:
     return b"<html" in head or b"<!doctype" in head
 
 
-def _wanted(archive: zipfile.ZipFile, suffix: str, prefer: str) -> str | None:
+def _wanted(archive: zipfile.ZipFile, suffix: str, prefer: str) -> list[str]:
+    """All text members; only those with the preferred name where there are any."""
     names = [n for n in archive.namelist() if n.lower().endswith(suffix)]
-    return next((n for n in names if prefer and prefer in n.lower()), names[0] if names else None)
+    return [n for n in names if prefer and prefer in n.lower()] or names
 
 
 def _members(data: bytes, suffix: str, prefer: str) -> Iterator[tuple[str, bytes | zipfile.ZipExtFile]]:
-    """The text member of an archive, or of every archive inside it.
+    """The text members of an archive and of every archive inside it.
 
     Broken inner archives are left out, as is anything that is not a zip.
     """
@@ -44,10 +45,8 @@ def _members(data: bytes, suffix: str, prefer: str) -> Iterator[tuple[str, bytes
     except zipfile.BadZipFile:
         return
     with outer:
-        name = _wanted(outer, suffix, prefer)
-        if name is not None:
+        for name in _wanted(outer, suffix, prefer):
             yield name, outer.read(name)
-            return
         for inner in (n for n in outer.namelist() if n.lower().endswith(".zip")):
             for member, content in _members(outer.read(inner), suffix, prefer):
                 yield f"{inner}/{member}", content
