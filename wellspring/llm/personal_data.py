@@ -181,15 +181,12 @@ def disclosing(docs: DataFrame, near: DataFrame, text: str) -> DataFrame:
     terms = saved(likely.select("term").distinct(), "pii-terms")
     every = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("term"))
     often = every.join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
-    total = docs.agg(
-        F.coalesce(F.sum(F.regexp_count(text, F.lit(WORD))), F.lit(0)).alias("words")
-    )
-    p_entity = F.col("near_entity") / F.greatest("words", "near_entity")
+    total = docs.agg(F.sum(F.regexp_count(text, F.lit(WORD)))).first()[0] or 0  # one row
+    p_entity = F.col("near_entity") / F.greatest(F.lit(total), "near_entity")
     p_given = F.least(F.lit(1.0), F.col("together") / F.col("n"))
     return (
         likely.join(often, "term")
         .join(sizes, "entity")
-        .join(F.broadcast(total))  # one row
         .where(F.log(p_given / p_entity) >= -ALPHA * F.log(p_entity))
         .select("entity", "term")
     )
