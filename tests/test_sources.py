@@ -441,3 +441,20 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_path):
 def test_lookup(spark, put):
     got = snapshots.load_lookup(spark, put("fields.csv", "Field Code,Field Name\n01,ALFA\n"))
     assert got.columns == ["field_code", "field_name"]
+
+
+def test_every_member_of_an_archive_is_read(spark, tmp_path):
+    import io
+    import zipfile
+
+    from wellspring.sources import archives
+
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("c.txt", "three")
+    with zipfile.ZipFile(tmp_path / "all.zip", "w") as z:
+        z.writestr("a.txt", "one")
+        z.writestr("b.txt", "two")
+        z.writestr("inner.zip", inner.getvalue())
+    lines = archives.archive_lines(spark, str(tmp_path / "all.zip")).collect()
+    assert {"one", "two", "three"} == {v for r in lines for v in r if v in ("one", "two", "three")}
