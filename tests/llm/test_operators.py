@@ -86,6 +86,32 @@ def test_near_documents(docs, empty):
     assert near_documents.near_duplicates(empty).count() == 0
 
 
+def test_near_copies_of_an_original_of_middle_id(spark):
+    original = [f"w{k}" for k in range(100)]
+    rows = [(500, " ".join(original))]
+    for k in range(1001):
+        if k != 500:
+            copy = list(original)
+            for j, at in enumerate((5 + k % 43, 53 + k // 43 % 42)):
+                copy[at] = f"changed{k}x{j}"
+            rows.append((k, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_documents.near_duplicates(df, width=4).collect()
+    assert len(got) == 1001 and {r.component_id for r in got} == {0}
+
+
+def test_pairs_of_large_buckets_are_all_compared(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    members = [(7, i, 50, *rng.integers(0, 2**62, 4).tolist(), i // 5) for i in range(90)]
+    members += [(7, 90 + i, 50, *members[i][3:7], 100 + i) for i in range(0, 90, 3)]
+    frame = spark.createDataFrame(
+        members, "band long, id long, n long, b0 long, b1 long, b2 long, b3 long, c long"
+    )
+    monkeypatch.setattr(near_documents, "CHUNK", 16)
+    pairs = {(r.a, r.b) for r in near_documents._remaining_pairs(frame, 80).collect()}
+    assert pairs == {(90 + i, i) for i in range(0, 90, 3)}
+
+
 def test_densified_bins_agree_as_often_as_the_sets():
     rng = np.random.default_rng(0)
     for size, common in ((10, 9), (200, 180)):

@@ -10,11 +10,13 @@
 4. Pairs whose one-bit signatures differ in more than ``MAX_BITS`` bins are
    dropped (at the bound 25 are expected, with a deviation below 5); the others
    are confirmed on the full sets, and components are formed.
-5. Where a bucket still holds several components, more stars follow from other
-   centres, and all remaining pairs between components in buckets of no more than
-   ``SMALL`` members. A link can be missed only in larger buckets, between two
-   members that are similar to each other but neither to any centre of the
-   buckets they share nor, through others, connected.
+5. Where a bucket still holds several components, more stars follow: from the
+   member that shares the most buckets of the largest size, as the original of a
+   group of copies does, and from others picked by a hash for each bucket.
+6. In the buckets that hold several components even then, all pairs between
+   components are compared, whatever the size of the bucket. Buckets above
+   ``SMALL`` members are cut into chunks for it, and only pairs whose one-bit
+   signatures are close leave a task.
 
 A pair at the similarity bound shares no bucket with probability below 3e-6.
 
@@ -27,6 +29,7 @@ gives no rows. Ids must be unique and not null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +55,10 @@ BINS = BANDS * ROWS
 MAX_BITS = 60
 #: Stars of a bucket, the first included.
 STARS = 3
-#: Buckets in which all pairs of different components are compared at last: no
-#: more than half as many pairs per member.
+#: Buckets of up to so many members are compared by a join, larger ones in chunks.
 SMALL = 24
+#: Members of a chunk of a larger bucket, about.
+CHUNK = 512
 
 
 def shingles(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,29 +234,82 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _star_pairs(mixed_members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each bucket's centre of this turn with its members of other components."""
-    order = F.xxhash64("id", F.lit(turn))
-    centre = mixed_members.groupBy("band").agg(F.min(order).alias("order"))
-    hubs = mixed_members.withColumn("order", order).join(centre, ["band", "order"], "left_semi")
+    if turn == 1:
+        sizes = mixed_members.groupBy("band").agg(F.count("*").alias("size"))
+        reach = mixed_members.join(sizes, "band").groupBy("id").agg(F.sum("size").alias("reach"))
+        ordered = mixed_members.join(reach, "id").withColumn("order", F.struct(-F.col("reach"), "id"))
+    else:
+        ordered = mixed_members.withColumn("order", F.struct(F.xxhash64("id", "band", F.lit(turn)), "id"))
+    hubs = ordered.groupBy("band").agg(
+        *[F.min_by(c, "order").alias(c) for c in mixed_members.columns if c != "band"]
+    )
     return _paired(mixed_members, hubs, F.col("m.c") != F.col("h.c"), percent)
 
 
 def _remaining_pairs(mixed_members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components that share a small bucket."""
+    """All pairs of members of different components that share a bucket."""
     sizes = mixed_members.groupBy("band", "c").agg(F.count("*").alias("size"))
-    main = (
-        sizes.groupBy("band")
-        .agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.sum("size").alias("all"))
-        .where(F.col("all") <= SMALL)
-        .drop("all")
+    main = sizes.groupBy("band").agg(
+        F.max_by("c", F.struct("size", "c")).alias("main"),
+        F.sum("size").alias("all"),
+        (F.sum("size") - F.max("size")).alias("outside"),
     )
-    hubs = mixed_members.join(main, "band").where("c <> main")
-    return _paired(
-        mixed_members,
-        hubs,
+    named = saved(mixed_members.join(main, "band"), "near-rest")
+    small = named.where(F.col("all") <= SMALL)
+    few = _paired(
+        small,
+        small.where("c <> main"),
         (F.col("m.c") != F.col("h.c"))
         & ((F.col("m.c") == F.col("h.main")) | (F.col("m.id") < F.col("h.id"))),
         percent,
     )
+    return few.unionByName(_chunked_pairs(named.where(F.col("all") > SMALL), percent)).distinct()
+
+
+def _chunked_pairs(named: DataFrame, percent: int) -> DataFrame:
+    """The same pairs of large buckets: chunks of all members by chunks of those outside main."""
+    rows, columns = (F.ceil(F.col(c) / CHUNK).cast("int") for c in ("all", "outside"))
+    at = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    signature = [f"b{k}" for k in range(-(-BINS // 64))]
+    kept = ["band", "id", "c", "n", *signature]
+    member = named.select(*kept, F.lit(False).alias("hub"), at(rows, 0).alias("i"), F.explode(every(columns)).alias("j"))
+    hub = named.where("c <> main").select(
+        *kept, F.lit(True).alias("hub"), F.explode(every(rows)).alias("i"), at(columns, 1).alias("j")
+    )
+    kind = dict(named.dtypes)["id"]
+
+    def compared(group: pa.Table) -> pa.Table:
+        is_hub = group.column("hub").to_numpy()
+        code = pa.concat_arrays(group.column("c").chunks).dictionary_encode().indices.to_numpy()
+        n = group.column("n").to_numpy()
+        bits = np.stack([group.column(w).to_numpy() for w in signature], axis=1).view(np.uint64)
+        members, hubs = np.flatnonzero(~is_hub), np.flatnonzero(is_hub)
+        left, right = [], []
+        for h in hubs:
+            # a pair of two members outside main is found from both sides and made distinct later
+            near = code[members] != code[h]
+            near &= 100 * np.minimum(n[members], n[h]) >= percent * np.maximum(n[members], n[h])
+            some = members[near]
+            apart = np.bitwise_count(bits[some] ^ bits[h]).sum(axis=1, dtype=np.int64)
+            some = some[apart <= MAX_BITS]
+            left.append(some)
+            right.append(np.full(len(some), h))
+        ids = group.column("id")
+        nothing = np.zeros(0, dtype=np.int64)
+        return pa.table(
+            {
+                "m": ids.take(pa.array(np.concatenate((nothing, *left)))),
+                "h": ids.take(pa.array(np.concatenate((nothing, *right)))),
+            }
+        )
+
+    return (
+        member.unionByName(hub)
+        .groupBy("band", "i", "j")
+        .applyInArrow(compared, f"m {kind}, h {kind}")
+        .select(F.greatest("m", "h").alias("a"), F.least("m", "h").alias("b"))
+    )
 
 
 def _paired(members: DataFrame, hubs: DataFrame, which, percent: int) -> DataFrame:
@@ -293,14 +350,22 @@ def near_duplicates(
     tested = saved(stars, "near-pairs")
     links = saved(similar(tested, sets, percent), "near-links")
     labels = saved(components(links), "near-labels")
-    rest = _mixed(members, labels)
-    pairs = _remaining_pairs(rest, percent)
-    for turn in range(1, STARS):
-        pairs = pairs.unionByName(_star_pairs(rest, turn, percent))
-    pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    more = saved(similar(pairs, sets, percent), "near-links")
-    if not more.isEmpty():
-        labels = saved(components(links.unionByName(more)), "near-labels")
+    for last in (False, True):
+        rest = _mixed(members, labels)
+        if rest.isEmpty():
+            break
+        if last:
+            pairs = _remaining_pairs(rest, percent)
+        else:
+            pairs = reduce(
+                DataFrame.unionByName, [_star_pairs(rest, t, percent) for t in range(1, STARS)]
+            )
+        pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        more = saved(similar(pairs, sets, percent), "near-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = saved(components(links), "near-labels")
+        tested = tested.unionByName(pairs)
     named = classes.join(labels, classes["first"] == labels["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "first").alias("component_id")
     )
