@@ -296,6 +296,27 @@ def test_language_model(docs, empty):
     assert language_model.scores(empty).count() == 0
 
 
+def test_all_training_texts_shape_the_scores(spark):
+    m = language_model
+    rng = np.random.default_rng(6)
+    texts = {k: rng.integers(0, 40, 30) for k in range(20)} | {77: np.tile([7, 9], m.TEXT_IDS)}
+    rows = spark.createDataFrame(
+        [(k, bytearray(t.astype("<u2").tobytes())) for k, t in texts.items()], "id long, ids binary"
+    )
+    model = m.Attention(m.id_counts(rows))
+    counts = m.following_counts(rows, model.group)
+    want = Counter()
+    for t in texts.values():
+        want.update(zip([m.VOCABULARY - 1, *t[:-1].tolist()], model.group[t].tolist()))
+    assert {(i, c): counts[i, c] for i, c in zip(*map(np.ndarray.tolist, np.nonzero(counts)))} == want
+    before = model.log10([np.array([7, 9] * 5)])[0]
+    model.follow(counts)
+    assert model.log10([np.array([7, 9] * 5)])[0] > before + 1
+    pieces = rows.select("id", m._piece(rows["ids"]).alias("ids")).collect()
+    assert all(bytes(r.ids) in texts[r.id].astype("<u2").tobytes() for r in pieces)
+    assert {r.id: len(r.ids) for r in pieces}[77] == 2 * m.TEXT_IDS and len(pieces) == 21
+
+
 def test_attention_sums_to_one_and_sees_no_later_id():
     model = language_model.Attention(np.arange(language_model.VOCABULARY) % 7)
     ids = np.random.default_rng(0).integers(0, 1000, (2, language_model.WINDOW))
