@@ -284,6 +284,26 @@ def test_leaks(spark, empty):
     assert leaks.leaks(empty, items).count() == 0 and leaks.leaks(df, items.limit(0)).count() == 0
 
 
+def test_leaks_of_question_and_answer_apart(spark, monkeypatch):
+    question, answer = ("what" + " is%d" * 11 % tuple(range(11)), "it is " + "so%d " * 6 % tuple(range(6)))
+    items = [(1, f"{question}.\n{answer.strip()}")]
+    items += [(k, " ".join(f"other{k}x{j}" for j in range(20))) for k in range(2, 8)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    gap = " ".join(f"gap{j}" for j in range(500))
+    texts = [
+        f"{question}. Answer: {answer}", f"{answer} {gap} {question}. {gap}", f"{question}. {gap}", f"{gap} {answer}",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (leaks.ITEMS, 2):
+        monkeypatch.setattr(leaks, "ITEMS", size)
+        got = {r.doc_id: r for r in leaks.leaks(df, items).collect()}
+        assert set(got) == {0, 1} and all(r.item_id == 1 for r in got.values())
+        assert all(r.question_overlap == r.answer_overlap == 1 for r in got.values())
+        scores = {k: r.score for k, r in got.items()}
+        assert size != 2 or scores == pytest.approx(whole)
+        whole = scores
+
+
 def test_language_model(docs, empty):
     got = {r.doc_id: r for r in language_model.scores(docs).collect()}
     texts = {i: [*WORD.findall((t or "").translate(LOWER)), None] for i, t in HARD}

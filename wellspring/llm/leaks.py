@@ -9,10 +9,13 @@ Test items are indexed by word; every passage of every document is a query.
   passage is scored only in blocks whose summed maxima reach the threshold.
 * Items that reach the threshold are compared by word shingles, for the question
   (all but the last sentence) and the answer (the last sentence) apart and for
-  the whole item. An item is found where the whole overlap is high enough.
+  the whole item. An item is found where the whole overlap is high enough, or the
+  overlaps of question and answer both are, each in its best window of the document.
 
 Passages are windows of twice the longest item, every half window, so any copy of
-an item lies inside one. Benchmarks are published lists of items; the index is
+an item lies inside one. Of a whole question and a whole answer that stand apart, one
+window holds half the weight of the item, so the item is retrieved. Word weights
+come from all items. Benchmarks are published lists of items; the index is
 sent to the tasks for ``ITEMS`` items at a time, whatever their number.
 
 Defined results: case of A-Z is ignored; null or blank texts and items find
@@ -72,13 +75,37 @@ class Postings:
         return which, entry
 
 
+@dataclass
+class Frequencies:
+    """Of all items: their number, mean length, and the items each word stands in."""
+
+    n: int
+    mean: float
+    terms: np.ndarray
+    df: np.ndarray
+
+    @classmethod
+    def of(cls, groups) -> Frequencies:
+        """Summed over groups of (id, text)."""
+        n = length = 0
+        terms, df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for rows in groups:
+            hashed = [_hashes(t or "") for _, t in rows]
+            n, length = n + len(hashed), length + sum(map(len, hashed))
+            own = np.concatenate([terms, *map(np.unique, hashed)])
+            terms, at = np.unique(own, return_inverse=True)
+            df = np.bincount(at, np.append(df, np.ones(len(own) - len(df))), len(terms)).astype(int)
+        return cls(n, max(1.0, length / max(1, n)), terms, df)
+
+
 class Index:
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], every: Frequencies | None = None):
         texts = [(i, t or "") for i, t in items]
         self.ids = [i for i, t in texts]
         hashed = [_hashes(t) for _, t in texts]
         self.longest = max(map(len, hashed), default=0)
-        mean = max(1.0, float(np.mean([len(h) for h in hashed])))
+        every = every or Frequencies.of([items])
+        mean = every.mean
         self.terms = np.unique(np.concatenate(hashed))
         term, slot, tf = [], [], []
         for k, h in enumerate(hashed):
@@ -87,14 +114,14 @@ class Index:
             slot.append(np.full(len(own), k))
             tf.append(n)
         term, slot, tf = (np.concatenate(x) for x in (term, slot, tf))
-        df = np.bincount(term, minlength=len(self.terms))
+        df = every.df[np.searchsorted(every.terms, self.terms)]
         length = np.array([len(h) for h in hashed])[slot]
-        weight = np.log(1 + (len(hashed) - df + 0.5) / (df + 0.5))[term]
+        weight = np.log(1 + (every.n - df + 0.5) / (df + 0.5))[term]
         weight = weight * tf * (1 + K1) / (tf + K1 * (1 - B + B * length / mean))
         self_score = np.bincount(slot, weight, len(hashed))
         weight = weight / self_score[slot]
         self.items = self._postings(term, slot, weight)
-        common = (df > max(1, COMMON * len(hashed)))[term]
+        common = (df > max(1, COMMON * every.n))[term]
         self.blocks_n = -(-len(hashed) // BLOCK_ITEMS)
         # an item made of common words keeps them all in the first pass, so that what
         # is left out never reaches the threshold by itself
@@ -155,6 +182,24 @@ class Index:
             if s >= THRESHOLD - 1e-9
         ]
 
+    @staticmethod
+    def best_share(stretch: Stretches, n: int, stride: int, own: np.ndarray, width: int) -> float:
+        """The greatest share of some shingles that one window of a document holds.
+
+        Shares below OVERLAP may come out as 0.
+        """
+        there = stretch(np.arange(max(0, n - width + 1)), width)
+        place = np.searchsorted(own, there)
+        place[place == len(own)] = 0
+        at = np.flatnonzero(own[place] == there)
+        if len(np.unique(place[at])) < OVERLAP * len(own):
+            return 0.0
+        most = 0
+        for begin in np.unique(np.maximum(0, at // stride - np.arange(2)[:, None])) * stride:
+            inside = at[(at >= begin) & (at + width <= begin + 2 * stride)]
+            most = max(most, len(np.unique(place[inside])))
+        return most / len(own)
+
     def found(self, hashes: np.ndarray) -> list[tuple]:
         """(item id, score, overlaps, first word) of the items in a document."""
         place = np.searchsorted(self.terms, hashes)
@@ -165,6 +210,7 @@ class Index:
         stride = max(32, self.longest)
         windows = -(-len(hashes) // stride)
         best: dict[int, tuple] = {}
+        apart: dict[int, tuple] = {}
         stretch = None
         for window, item, score in self.retrieved(place[at], at // stride, windows):
             stretch = stretch or Stretches(hashes)
@@ -178,6 +224,15 @@ class Index:
                 shares.append(float(np.isin(own, there).mean()))
             if shares[0] >= OVERLAP and (item not in best or shares[0] > best[item][1]):
                 best[item] = (score, *shares, begin)
+            if None not in shares and (item not in apart or score > apart[item][0]):
+                apart[item] = (score, shares[0], begin)
+        for item in apart.keys() - best.keys():
+            score, whole, begin = apart[item]
+            parts = [
+                self.best_share(stretch, len(hashes), stride, *part) for part in self.parts[item][1:]
+            ]
+            if min(parts) >= OVERLAP:
+                best[item] = (score, whole, *parts, begin)
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
@@ -199,13 +254,19 @@ def leaks(
         f"{key} {kind}, {item_key} {item_kind}, score double, overlap double, "
         "question_overlap double, answer_overlap double, window_start long"
     )
-    out = None
-    for part in range(parts):
+
+    def rows_of(part: int) -> list[tuple]:
         own = chosen.where(F.pmod(F.xxhash64(item_key, item_text), F.lit(parts)) == part)
         rows = own.orderBy(item_key).collect()  # about ITEMS rows
-        index = Index([tuple(r) for r in rows if _hashes(r[1]).size])
-        if not index.ids:
+        return [tuple(r) for r in rows if _hashes(r[1]).size]
+
+    out = None
+    every = Frequencies.of(map(rows_of, range(parts)))  # the vocabulary of the items
+    for part in range(parts):
+        rows = rows_of(part)
+        if not rows:
             continue
+        index = Index(rows, every)
         found = docs.select(key, text).mapInArrow(_searching(index, item_type), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
