@@ -215,6 +215,17 @@ def test_disclosing_terms(spark):
     assert not any(got[k] for k in got if k >= 100)
 
 
+def test_terms_of_rare_entities_are_marked_everywhere(spark):
+    far = "every day the town writes to all of us " * 20
+    rows = [(1, f"Zorkish {far} me@x.org and {far} then zorkish again"), (2, f"we call 1@y.org or {far}")]
+    rows += [(3, rows[0][1])] + [(10 + k, f"we call and then again {far} {'abcd'[k % 4]}{k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.terms] for r in personal_data.all_spans(df).collect()}
+    text = rows[0][1]
+    assert got[1] == got[3] == [(m.start(), m.end()) for m in re.finditer("(?i)zorkish", text)]
+    assert {rows[1][1][a:b] for a, b in got[2]} == set()
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 

@@ -1,23 +1,25 @@
 """Personal data: patterns, and terms that give a person away by co-occurrence.
 
 E-mail addresses, IP addresses, card numbers and phone numbers are found by
-pattern. Each distinct value is a protected entity. For the terms near its
-mentions the corpus says how strongly they point to it: with p(e) the share of
-words near the entity and p(e|t) the share of the occurrences of a term that are
-near it, the term discloses the entity if
+pattern. Each distinct value is a protected entity. For the terms in the texts
+that hold it the corpus says how strongly they point to it: with p(e) the share of
+texts with the entity and p(e|t) the share of the texts with a term that hold the
+entity too, the term discloses the entity if
 
     log(p(e|t) / p(e)) >= ALPHA * -log(p(e))
 
 that is, if its pointwise mutual information with the entity comes near the
-information content of the entity. Terms need ``SUPPORT`` different contexts, so
-that copies of one sentence prove nothing. Disclosing terms are spans of kind
-``term`` in the contexts of the entity, beside the spans of the patterns.
+information content of the entity. p(e|t) is smoothed by ``SMOOTH`` texts, so that
+entities of one or two texts have disclosing terms as well. All occurrences of a disclosing term in the
+documents with its entity are spans of kind ``term``, beside the spans of the
+patterns.
 ``sanitised`` puts the name of the kind in place of a span (a generalisation)
 or removes terms.
 
-All of it is DataFrame functions. The text is shuffled only by ``sanitised``, and
-only where the table of spans is too large for Spark to broadcast. A frequent
-entity is counted per task before the shuffle.
+All of it is DataFrame functions. The text is shuffled by ``sanitised`` only where
+the table of spans is too large for Spark to broadcast; the words of documents with
+entities are. A frequent entity is counted per task before the shuffle, and a term is
+paired with an entity only if it is rare enough to disclose it.
 
 Patterns are written so that they need time in proportion to the text and no
 recursion, also on very long runs of digits or letters.
@@ -29,7 +31,7 @@ empty table gives no rows. Ids must be unique and not null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm.stages import saved
@@ -46,9 +48,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"\p{L}{3,}"
-#: Code points on each side of a mention that count as its context.
-CONTEXT = 80
-SUPPORT = 3
+#: p(e|t) = (texts with both + SMOOTH) / (texts with t + 2 * SMOOTH)
+SMOOTH = 0.5
 ALPHA = 0.95
 
 
@@ -128,76 +129,75 @@ def pattern_spans(text: Column) -> Column:
 
 
 def based(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id and its pattern spans, each with the text on both sides."""
+    """id and the pattern spans."""
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("spans", pattern_spans(F.col("text")))
-    left = lambda s: F.greatest(F.lit(0), s["start"] - CONTEXT)
-    return rows.select(
-        "id",
-        F.transform(
-            "spans",
-            lambda s: s.withField("left_at", left(s))
-            .withField("left", F.substring(F.col("text"), left(s) + 1, s["start"] - left(s)))
-            .withField("right", F.substring(F.col("text"), s["end"] + 1, F.lit(CONTEXT))),
-        ).alias("spans"),
-    )
+    return rows.select("id", pattern_spans(F.col("text")).alias("spans"))
 
 
-def context_terms(base: DataFrame) -> DataFrame:
-    """Terms near each mention: id, entity, context, term, start, end."""
-    mention = base.select("id", "spans", F.explode("spans").alias("m")).select(
-        "id", "spans", F.concat_ws(":", "m.kind", F.lower("m.value")).alias("entity"),
-        F.xxhash64("m.left", "m.right").alias("context"), "m.left", "m.right", "m.left_at", "m.end",
-    )
-    # words cut by the edge of the context are left out
-    whole_left = F.filter(matches(F.col("left"), WORD), lambda w: (w["start"] > 0) | (F.col("left_at") == 0))
-    whole_right = F.filter(
-        matches(F.col("right"), WORD), lambda w: (w["end"] < CONTEXT) | (F.length("right") < CONTEXT)
+def words_of(docs: DataFrame, base: DataFrame, key: str, text: str) -> DataFrame:
+    """id, term, start and end of the words of documents with entities, outside the pattern spans."""
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(
+        base.where(F.size("spans") > 0).select("id", "spans"), "id"
     )
-    shifted = lambda words, by: F.transform(
-        words,
-        lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (w["start"] + by).alias("start"), (w["end"] + by).alias("end")
-        ),
+    # the gap before each word; the ends are running sums, as a fold over a long text copies its state
+    parts = F.arrays_zip(
+        F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("value")
     )
-    terms = F.concat(
-        shifted(whole_left, F.col("left_at")), shifted(whole_right, F.col("end"))
+    sizes = rows.select("id", F.posexplode(parts).alias("pos", "p")).where("p.value is not null")
+    upto = F.sum(F.length("p.gap") + F.length("p.value")).over(Window.partitionBy("id").orderBy("pos"))
+    found = sizes.select(
+        "id", F.lower("p.value").alias("term"), upto.cast("int").alias("end"),
+        (upto - F.length("p.value")).cast("int").alias("start"),
+    )
+    covered = F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    return found.join(base.select("id", "spans"), "id").where(~covered).select("id", "term", "start", "end")
+
+
+def disclosing(docs: DataFrame, base: DataFrame, words: DataFrame, text: str) -> DataFrame:
+    """(id, term): the terms that give an entity of a document away."""
+    entity = F.explode(
+        F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    ).alias("entity")
+    total = base.count()
+    owned = saved(base.select("id", entity), "pii-owned")
+    p_entity = F.col("texts") / F.lit(max(1, total))
+    entities = owned.groupBy("entity").agg(F.count("*").alias("texts"))
+    entities = entities.select(
+        "entity", "texts",
+        # the least share p(e|t) that discloses the entity
+        F.pow(p_entity, F.lit(1 - ALPHA)).alias("least"),
+    )
+    held = saved(words.select("id", "term").distinct(), "pii-held")
+    terms = saved(held.select("term").distinct(), "pii-terms")
+    every = docs.select(
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term")
     )
-    return (
-        mention.select("id", "spans", "entity", "context", F.explode(terms).alias("t"))
-        .where(~F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start"))))
-        .select("id", "entity", "context", "t.term", "t.start", "t.end")
+    often = saved(
+        every.join(terms, "term").groupBy("term").agg(F.count("*").alias("n")), "pii-often"
+    )
+    share = lambda n: (n + SMOOTH) / (F.col("n") + 2 * SMOOTH)
+    pairs = (
+        held.join(often, "term")
+        .join(owned.join(entities, "entity"), "id")
+        .where(share(F.col("texts")) >= F.col("least"))
+        .select("id", "entity", "term", "n", "least")
     )
-
-
-def disclosing(docs: DataFrame, near: DataFrame, text: str) -> DataFrame:
-    """(entity, term) pairs in which the term gives the entity away."""
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("together"), F.count("*").alias("contexts")
-    )
     pairs = saved(pairs, "pii-pairs")
-    sizes = saved(pairs.groupBy("entity").agg(F.sum("together").alias("near_entity")), "pii-entities")
-    likely = saved(pairs.where(F.col("contexts") >= SUPPORT), "pii-likely")
-    terms = saved(likely.select("term").distinct(), "pii-terms")
-    every = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("term"))
-    often = every.join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
-    total = docs.agg(F.sum(F.regexp_count(text, F.lit(WORD)))).first()[0] or 0  # one row
-    p_entity = F.col("near_entity") / F.greatest(F.lit(total), "near_entity")
-    p_given = F.least(F.lit(1.0), F.col("together") / F.col("n"))
-    return (
-        likely.join(often, "term")
-        .join(sizes, "entity")
-        .where(F.log(p_given / p_entity) >= -ALPHA * F.log(p_entity))
+    strong = (
+        pairs.groupBy("entity", "term", "n", "least")
+        .agg(F.count("*").alias("together"))
+        .where(share(F.col("together")) >= F.col("least"))
         .select("entity", "term")
     )
+    return pairs.join(strong, ["entity", "term"]).select("id", "term").distinct()
 
 
 def all_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, base and terms: arrays of struct<kind, start, end>, in order."""
     base = saved(based(docs, key, text), "pii-base")
-    near = saved(context_terms(base), "pii-near")
-    pairs = saved(disclosing(docs, near, text), "pii-disclosing")
-    added = near.join(pairs, ["entity", "term"]).groupBy("id").agg(
+    words = saved(words_of(docs, base, key, text), "pii-words")
+    pairs = saved(disclosing(docs, base, words, text), "pii-disclosing")
+    added = words.join(pairs, ["id", "term"]).groupBy("id").agg(
         F.array_sort(
             F.collect_set(F.struct(F.lit(TERM).alias("kind"), F.col("start"), F.col("end")))
         ).alias("terms")
