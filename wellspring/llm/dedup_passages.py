@@ -1,14 +1,14 @@
-"""Removal of passages that occur more than once, by doubling window lengths.
+"""Removal of passages that occur more than once, by short and then full windows.
 
-Lengths double from a quarter of the window (9, 18, 35 for 35): a window can
-only repeat if its parts do, so what occurs once at a short length alone is
-dropped there, and only the rest is extended.
+A window can only repeat if its parts do, so what occurs once at a quarter of the
+length (9 words of 35) is dropped there, and only the rest is extended, at once to
+full windows: the level of 18 words of the doubling method is not counted.
 
 * Short windows are sampled by content: each full window is represented by the
   short window with the smallest hash inside it, its *seed*, so equal windows
   name the same seed. Neighbouring windows mostly share it; they form a *run*.
 * Seeds that occur once end there, with all runs they stand for.
-* Other runs are extended to both sides of the seed, over both doublings, to all
+* Other runs are extended to both sides of the seed, to all
   the words of their full windows. A run that occurs elsewhere as a whole repeats
   in every window. Only runs with a repeated seed but other surroundings are
   opened and compared window by window, next to one copy of each repeated run
