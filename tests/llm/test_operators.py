@@ -321,7 +321,7 @@ def test_language_model(docs, empty):
     c = Counter(w for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
     n, v = sum(c.values()), len(c)
     for i, t in texts.items():
-        base = sum(math.log10((c[w] + 1) / ((n + 1) * (v + 1))) for w in t)
+        base = sum(math.log10((c[w] + 1) / (n + 1 * (v + 1))) for w in t)
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
         assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and got[i].score < 0
     assert language_model.scores(empty).count() == 0
