@@ -29,12 +29,14 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple((type(r[i]).__name__, plain(r[i])) for i in order) for r in rows)
 
 
-def compare(spark, connection, sf_dir: str, name: str) -> str:
-    df = QUERIES[name](spark, sf_dir)
+def compare(spark, connection, sf_dir: str, name: str, queries=None, oracles=None) -> str:
+    """Run query `name` of `queries` and compare it with its SQL in `oracles` (default: the registry's)."""
+    queries, oracles = queries or QUERIES, oracles or ORACLES
+    df = queries[name](spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
-    if name not in ORACLES:
+    if name not in oracles:
         return f"rows {len(got)} (no check)"
-    cursor = connection.execute(ORACLES[name])
+    cursor = connection.execute(oracles[name])
     columns = [d[0] for d in cursor.description]
     want = cursor.fetchall()
     if sorted(columns) != sorted(df.columns):
