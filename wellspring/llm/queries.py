@@ -96,3 +96,38 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspring.llm import language_model
 
     return language_model.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import hard_negatives
+
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_hard_negatives"] = """
+with v as (
+  select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as iv
+  from embeddings
+  where label is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)
+),
+s as (
+  select a.vec_id as anchor_id, a.label as alabel, v.vec_id as id, v.label,
+         coalesce(list_inner_product(a.iv, v.iv), 0)::bigint as score
+  from v as a join v on len(a.iv) = len(v.iv)
+  where a.vec_id % 100 = 0
+),
+p as (
+  select anchor_id, id as positive_id, score as positive_score
+  from s where label = alabel and id <> anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, p.positive_id,
+       (row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.id))::int as rank,
+       s.id as negative_id, p.positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and s.label <> s.alabel
+  and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+qualify rank <= 5
+"""
