@@ -131,3 +131,43 @@ from p join s on s.anchor_id = p.anchor_id and s.label <> s.alabel
   and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
 qualify rank <= 5
 """
+
+
+@query
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import lexical_search
+
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+ORACLES["op12_ranked_lexical_search"] = f"""
+with p as (
+  select doc_id, t as term, count(*) as tf
+  from (select doc_id, unnest({_TERMS.format('text')}) as t from documents where doc_id is not null)
+  group by all
+),
+n as (select doc_id, sum(tf)::bigint as n from p group by doc_id),
+c as (select count(*)::bigint as big_n, sum(n)::bigint as big_l from n),
+w as (
+  select term, floor(1000 * ln((2 * big_n + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from p, c group by term, big_n
+),
+m as (select doc_id, 75 + (25 * n * big_n) // big_l as m from n, c),
+q as (
+  select item_id, t as term, count(*) as q
+  from (select item_id, unnest({_TERMS.format('text')}) as t from benchmark where item_id is not null)
+  group by all
+),
+s as (
+  select q.item_id, p.doc_id, sum(q.q * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * m.m)))::bigint as score
+  from q join p using (term) join w using (term) join m using (doc_id)
+  group by all
+)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from s where score > 0
+qualify rank <= 20
+"""
