@@ -171,3 +171,51 @@ select item_id, (row_number() over (partition by item_id order by score desc, do
 from s where score > 0
 qualify rank <= 20
 """
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspring.llm import secret_scan
+
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+def _secret_sql() -> str:
+    from wellspring.llm.secret_scan import ACCESS_BASE, ASSIGN, HEX_BASE
+
+    def rule(kind, order, pattern, group, least):
+        p = pattern.replace("'", "''")
+        return f"""
+  select doc_id, '{kind}' as kind, {order} as o, i,
+         length(pieces[i]) as before, length(ms[i]) as width, length(gs[i]) >= {least} as kept
+  from (select doc_id, regexp_split_to_array(t, '{p}') as pieces, regexp_extract_all(t, '{p}', 0) as ms,
+               regexp_extract_all(t, '{p}', {group}) as gs from d),
+       lateral (select unnest(generate_series(1, len(ms))) as i)"""
+
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({rule('assign', 0, ASSIGN, 2, 8)}
+  union all {rule('access', 1, ACCESS_BASE, 0, 16)}
+  union all {rule('hex', 2, HEX_BASE, 0, 32)}
+),
+s as (
+  select doc_id, kind, o, kept,
+         sum(before + width) over (partition by doc_id, kind order by i) - width as start,
+         sum(before + width) over (partition by doc_id, kind order by i) as "end"
+  from m
+),
+g as (
+  select doc_id,
+         count(*) filter (where kind = 'assign') as n_assign,
+         count(*) filter (where kind = 'access') as n_access,
+         count(*) filter (where kind = 'hex') as n_hex,
+         string_agg(kind || ':' || start || ':' || "end", ',' order by start, o) as spans
+  from s where kept group by doc_id
+)
+select d.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+       coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (doc_id)
+"""
+
+
+ORACLES["op13_secret_scan"] = _secret_sql()
