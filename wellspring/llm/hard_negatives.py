@@ -27,7 +27,8 @@ positive (a row of equal vec_id is skipped); fewer than ``TOP`` candidates give
 all of them; an anchor without positives gives no rows; repeated vec_ids take
 part as separate rows and anchors with a repeated vec_id share one list;
 extra columns are ignored; an empty table gives no rows. Scores outside the
-64-bit range raise an error.
+64-bit range raise an error; where the primes' product would pass 2**63, the
+scores are summed as Python integers instead.
 """
 
 from __future__ import annotations
@@ -82,8 +83,9 @@ def exact_scores(a: np.ndarray, x: np.ndarray) -> np.ndarray:
             break
         chosen.append(p)
         modulus *= p
-    if modulus <= 2 * bound:
-        raise ValueError("too few primes for so long vectors")
+    if modulus <= 2 * bound or modulus >= 2**63:
+        # The residues would not fit 64 bits: exact integers, slowly (huge components only).
+        return (a.astype(np.int64).astype(object) @ x.astype(np.int64).astype(object).T).astype(np.int64)
     value, radix = None, 1
     for p in chosen:
         r = (np.mod(a, p).astype(np.float32) @ np.mod(x, p).astype(np.float32).T).astype(np.int64) % p
