@@ -122,7 +122,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         postings(docs)
         .join(F.broadcast(table), "trigram")
         .groupBy("key", "kind", "alternative")
-        .agg(F.count("*").alias("have"), F.first("need").alias("need"))
+        .agg(F.count_distinct("trigram").alias("have"), F.first("need").alias("need"))
         .where(F.col("have") == F.col("need"))
         .select("key", "kind")
         .distinct()
