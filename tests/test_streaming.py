@@ -133,13 +133,41 @@ def test_transitions_equal_one_batch(spark, table, tmp_path):
     folder, schema = split(df, tmp_path, "snapshot_date", thirds)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     root = str(tmp_path / "lake")
-    run(ingest.start_transitions(spark, stream, root, str(tmp_path / "cp")))
-    got = spark.read.parquet(f"{root}/silver/facility_events").drop("load")
+    query = ingest.start_transitions(spark, stream, root, str(tmp_path / "cp"))
+    run(query)
+    got = spark.read.parquet(f"{root}/silver/facility_events")
     want = ingest.status_transitions(df)
     assert got.count() == want.count() > 10
     assert got.exceptAll(want.select(*got.columns)).count() == 0
-    state = spark.read.parquet(f"{root}/state/facility_status")
-    assert state.where("load = 2").count() == df.select("facility_id").distinct().count()
+    # One state row per facility after every batch, however many batches ran.
+    facilities = df.select("facility_id").distinct().count()
+    totals = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(totals) >= 3 and totals[-1] == facilities and max(totals) <= facilities
+
+
+def test_transitions_with_late_and_tied_snapshots(spark, tmp_path):
+    d = dt.date
+    loads = [
+        [("f1", d(2024, 1, 1), True), ("f1", d(2024, 1, 5), False), ("f2", d(2024, 1, 1), None),
+         ("f2", d(2024, 1, 2), True), ("f3", d(2024, 1, 3), False), ("f3", d(2024, 1, 3), True)],
+        [("f1", d(2024, 1, 3), True), ("f1", d(2024, 1, 6), True), ("f2", d(2024, 1, 4), False),
+         ("f3", d(2024, 1, 3), True), ("f3", d(2024, 1, 4), False), ("f4", None, True)],
+        [("f1", d(2024, 1, 6), False), ("f3", d(2024, 1, 2), True), ("f1", d(2024, 1, 7), False)],
+    ]
+    schema = "facility_id string, snapshot_date date, is_active boolean"
+    for k, rows in enumerate(loads):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "raw" / f"load={k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "raw"))
+    root = str(tmp_path / "lake")
+    run(ingest.start_transitions(spark, stream, root, str(tmp_path / "cp")))
+    got = sorted((r[0], str(r[1]), r[2], r[3]) for r in spark.read.parquet(f"{root}/silver/facility_events").collect())
+    assert got == [
+        ("f1", "2024-01-05", "Active", "Inactive"),
+        ("f1", "2024-01-06", "Active", "Inactive"),  # load 2: equal date, inactive after active
+        ("f1", "2024-01-06", "Inactive", "Active"),  # load 1: 01-03 is late and skipped
+        ("f2", "2024-01-04", "Active", "Inactive"),  # the row after the null status gave none
+        ("f3", "2024-01-03", "Active", "Inactive"),  # tie in one load: active first
+    ]  # f3's tied active in load 1 and 01-02 in load 2 are late; f4 has no date
 
 
 def test_stream_dedupe_within_bound(spark, table, tmp_path):

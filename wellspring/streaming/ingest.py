@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from wellspring.contracts import Contract
 from wellspring.functions.text import file_date, file_period, status_label
 from wellspring.operators.keyed import latest_by, transitions
-from wellspring.operators.sets import union_all
 from wellspring.plans.silver import build_production
 from wellspring.plans.sinks import (
     as_bronze,
@@ -259,32 +259,89 @@ def status_transitions(rows: DataFrame) -> DataFrame:
     )
 
 
-def start_transitions(
-    spark: SparkSession, snapshots: DataFrame, root: str, checkpoint: str
-) -> StreamingQuery:
-    """Status changes across batches, given snapshots in date order.
+#: The state store that transformWithState needs.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TRANSITION = "facility_id string, event_date date, old_status string, new_status string"
+
+
+def _label(active):
+    return None if active is None else ("Active" if active else "Inactive")
+
 
-    The state is one row per facility, its last known status, kept as a table
-    under the batch number. Each batch joins that row in front of its own
-    snapshots and runs the batch operator, so no facility is folded in one
-    Python group however many rows it has.
+class StatusTracker(StatefulProcessor):
+    """Per facility, the last status seen (a value state); a row for every change.
+
+    Snapshots of a batch are taken by date, and on equal dates the active one
+    first (inactive last). Defined results:
+
+    * a snapshot that sorts before the facility's last one (late, or equal date
+      and active after inactive) changes nothing and gives no row: history
+      that was emitted stays as it is;
+    * a snapshot without a date is skipped; a null status is remembered and
+      gives no row, and neither does the snapshot after it (as the batch twin);
+    * with ``ttl_ms``, a facility silent for that long (processing time) is
+      forgotten and its next snapshot starts afresh.
+
+    The state holds one row per facility whatever the number of batches.
     """
-    base = root.rstrip("/")
-    state, events = f"{base}/state/facility_status", f"{base}/silver/facility_events"
 
-    def advance(batch: DataFrame, number: int) -> None:
-        rows = batch.select(*STATUS)
-        known = read_or_none(spark, state)
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "snapshot_date date, is_active boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.last.get() if self.last.exists() else None
+
+        def order(date, active):
+            return (date, active is not True, active is None)
+
+        for row in sorted(
+            (r for r in rows if r["snapshot_date"] is not None),
+            key=lambda r: order(r["snapshot_date"], r["is_active"]),
+        ):
+            if known is not None and order(row["snapshot_date"], row["is_active"]) < order(known[0], known[1]):
+                continue
+            before = None if known is None else known[1]
+            if before is not None and row["is_active"] is not None and before != row["is_active"]:
+                yield Row(
+                    facility_id=key[0], event_date=row["snapshot_date"],
+                    old_status=_label(before), new_status=_label(row["is_active"]),
+                )
+            known = (row["snapshot_date"], row["is_active"])
         if known is not None:
-            earlier = known.where(F.col("load") < number)
-            newest = earlier.where(F.col("load") == earlier.select(F.max("load")).scalar())
-            rows = union_all(newest.select(*STATUS), rows)
-        last = latest_by(rows, ["facility_id"], [F.desc("snapshot_date")])
-        tag = F.lit(number).cast("bigint")
-        write_partitioned(status_transitions(rows).withColumn("load", tag), events, "load")
-        write_partitioned(last.withColumn("load", tag), state, "load")
-
-    return _started(snapshots, advance, checkpoint)
+            self.last.update(known)
+
+    def close(self) -> None:
+        pass
+
+
+def status_changes(snapshots: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """A stream of status changes from a stream of snapshots, state kept per facility."""
+    spark = snapshots.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return (
+        snapshots.select(*STATUS)
+        .groupBy("facility_id")
+        .transformWithState(
+            StatusTracker(ttl_ms), TRANSITION, "Append", "ProcessingTime" if ttl_ms else "None"
+        )
+    )
+
+
+def start_transitions(
+    spark: SparkSession, snapshots: DataFrame, root: str, checkpoint: str, ttl_ms: int | None = None
+) -> StreamingQuery:
+    """Status changes across batches, appended to ``silver/facility_events``.
+
+    The last status of each facility lives in the stream's state store
+    (RocksDB, under the checkpoint), so a batch reads only its own snapshots
+    and a replayed batch finds the state of the batch before it.
+    """
+    events = f"{root.rstrip('/')}/silver/facility_events"
+    return start_to_table(status_changes(snapshots, ttl_ms), events, checkpoint)
 
 
 def as_of_table(spark: SparkSession, as_of: Column) -> DataFrame:
