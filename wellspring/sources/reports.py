@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.constants import (
@@ -136,37 +136,74 @@ def parse_licence_blocks(lines: DataFrame) -> DataFrame:
     return latest_by(parsed, [*FILE, "licence_number"], ["line_no"])
 
 
-def without_overlaps(starts: DataFrame, span: int, page: int = 50_000) -> DataFrame:
+def without_overlaps(starts: DataFrame, span: int, page: int = 2048) -> DataFrame:
     """Of blocks ``span`` lines long, those an earlier kept block does not cover.
 
-    A start that lies ``span`` or more lines after the start before it is kept
-    for certain and opens a run; only the starts of one run compete, and one
-    pass over its line numbers settles them. A well-formed report has runs of a
-    single start. Runs are found page by page, so no task sorts a whole file.
+    A small automaton decides it: its state is the number of lines still
+    covered by the last kept block (0 to span - 1). Lines are cut into pages of
+    ``page`` line numbers; each page with starts becomes a table of span
+    entries, the state leaving the page for each state entering it, computed
+    from its sorted starts for all entry states at once. The tables of a file
+    are composed in page order by doubling (round k joins each page with the
+    one 2**k before it), which gives each page its entry state; then each page
+    runs once from that state. No group is larger than one page.
     """
-    number = F.col("line_no")
-    at_page = F.floor(number / page)
-    numbers = starts.select(*FILE, "line_no")
-    opened = previous_by(numbers, FILE, ["line_no"], ["line_no"], at_page).withColumn(
-        "_opens", F.when(F.coalesce(number - F.col("prev_line_no") >= span, F.lit(True)), number)
-    )
-    runs = carry_forward(opened, FILE, "line_no", "_opens", at_page)
-
-    def keep(kept: Column, n: Column) -> Column:
-        free = F.coalesce(n - F.try_element_at(kept, F.lit(-1)) >= span, F.lit(True))
-        return F.when(free, F.array_append(kept, n)).otherwise(kept)
-
-    kept = (
-        runs.groupBy(*FILE, "_opens")
-        .agg(F.array_sort(F.collect_list("line_no")).alias("_lines"))
-        .select(
-            *FILE,
-            F.explode(
-                F.aggregate("_lines", F.array().cast("array<bigint>"), keep)
-            ).alias("line_no"),
+    keys = [c for c in FILE if c in starts.columns]
+    first_line = F.col("_page") * page
+    entries = F.sequence(F.lit(0), F.lit(span - 1))
+
+    def run(entry: Column, n: Column) -> Column:
+        # Last line covered after line n, from the last line covered before it.
+        return F.when(n > entry, n + (span - 1)).otherwise(entry)
+
+    pages = (
+        starts.withColumn("_page", F.floor(F.col("line_no") / page))
+        .groupBy(*keys, "_page")
+        .agg(F.array_sort(F.collect_list(F.struct("line_no", *[c for c in starts.columns if c != "line_no"]))).alias("_rows"))
+        .withColumn("_lines", F.transform("_rows", lambda r: r["line_no"]))
+        .withColumn(
+            "_covered",  # last covered line when leaving the page, per entry state
+            F.aggregate(
+                "_lines", F.transform(entries, lambda e: first_line + e - 1),
+                lambda acc, n: F.transform(acc, lambda b: run(b, n)),
+            ),
         )
+    )
+    order = Window.partitionBy(*keys).orderBy("_page")
+    pages = pages.withColumn("_r", F.row_number().over(order) - 1).withColumn(
+        "_gap", F.coalesce(F.lead("_page").over(order) - F.col("_page"), F.lit(1))
+    )
+    # The page's table: state entering the next page with starts, per entry state.
+    leave = F.col("_page") * page + F.col("_gap") * page - 1
+    pages = saved_pages = pages.withColumn(
+        "_f", F.transform("_covered", lambda b: F.least(F.greatest(b - leave, F.lit(0)), F.lit(span - 1)).cast("int"))
+    ).checkpoint()
+    most = pages.groupBy(*keys).agg(F.max("_r").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    prefix, step = pages.select(*keys, "_r", F.col("_f").alias("_q")), 1
+    while step <= most:
+        earlier = prefix.select(*keys, (F.col("_r") + step).alias("_r"), F.col("_q").alias("_e"))
+        prefix = prefix.join(earlier, [*keys, "_r"], "left").select(
+            *keys, "_r",
+            F.when(F.col("_e").isNull(), F.col("_q"))
+            .otherwise(F.transform("_e", lambda x: F.element_at("_q", x + 1)))
+            .alias("_q"),
+        )
+        step *= 2
+    if most > 0:
+        entry = prefix.select(*keys, (F.col("_r") + 1).alias("_r"), F.element_at("_q", 1).alias("_in"))
+        pages = saved_pages.join(entry, [*keys, "_r"], "left")
+    else:
+        pages = saved_pages.withColumn("_in", F.lit(None).cast("int"))
+    start = first_line + F.coalesce("_in", F.lit(0)) - 1
+    kept = F.aggregate(
+        "_lines", F.struct(start.alias("b"), F.array().cast("array<bigint>").alias("k")),
+        lambda acc, n: F.when(n > acc["b"], F.struct((n + (span - 1)).alias("b"), F.array_append(acc["k"], n).alias("k")))
+        .otherwise(acc),
+    )["k"]
+    chosen = pages.withColumn("_kept", kept).select(
+        F.explode(F.filter("_rows", lambda r: F.array_contains(F.col("_kept"), r["line_no"]))).alias("_row")
     )
-    return starts.join(kept, [*FILE, "line_no"], "left_semi")
+    return chosen.select(*[F.col("_row")[c].alias(c) for c in starts.columns])
 
 
 def read_licences(spark: SparkSession, path) -> DataFrame:
