@@ -112,6 +112,7 @@ def test_lexical_search_equals_brute_force(spark, monkeypatch):
     words = [f"w{k}" for k in range(60)] + ["Über", "straße", "日本", "x1", "THE"]
     docs = [(i, " ".join(rng.choice(words, int(rng.integers(1, 80))))) for i in range(300)]
     docs += [(300, None), (301, ""), (302, "... !!! ,,,"), (303, "W1 w1 W1;w1" * 2000), (304, "w3 w4"), (305, "w3 w4")]
+    docs += [(0, "w9 w9 again"), (304, "w3")]  # repeated ids are one document
     items = [(k, " ".join(rng.choice(words, int(rng.integers(1, 8))))) for k in range(25)]
     items += [(90, None), (91, "w5 w5 w5 w7"), (92, "nothing-here"), (93, "the THE")]
     monkeypatch.setattr(lexical_search, "TOP", 7)

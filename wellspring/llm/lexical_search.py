@@ -9,9 +9,11 @@ Scoring (all integers but the term weight):
 * score = sum over the item's terms (repeats included) of
   w * ((10**9 tf) div (1000 tf + 12 m)).
 
-The index is stratified by m: documents of equal m form a stratum, and a
-posting (term, m, tf) has one impact w * ((10**9 tf) div (1000 tf + 12 m)),
-computed once for all documents that share it. A stratum's bound for an item
+Postings (doc_id, term, tf, n) are counted inside each task (Arrow), so the
+corpus is not shuffled to build them. The index is stratified by m: documents
+of equal m form a stratum, and a posting (term, m, tf) has the impact
+w(term) * g(tf, m), g = (10**9 tf) div (1000 tf + 12 m), the same for all
+documents that share it; w is joined to the items' terms only. A stratum's bound for an item
 is the sum of its terms' largest impacts there. Strata are visited in order of
 their bound in two rounds, for all items at once:
 
@@ -32,6 +34,8 @@ columns are ignored; empty tables give no rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +45,14 @@ TOP = 20
 # Fixed values of the contract: the term pattern and the constants of the score.
 TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What stands between terms: the complement of TERM (ASCII but letters and digits).
+SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+POSTING = pa.schema([("doc_id", pa.int64()), ("term", pa.string()), ("tf", pa.int64()), ("n", pa.int64())])
+G = "(1000000000L * tf) div (1000L * tf + 12L * m)"
+#: Text bytes handed to Arrow at once: bounds a task's memory whatever the batch.
+SLICE_BYTES = 4 << 20
+#: A table of ids or terms is broadcast only up to so many rows (counted first).
+BROADCAST_ROWS = 2_000_000
 
 
 def terms(text) -> F.Column:
@@ -48,39 +60,89 @@ def terms(text) -> F.Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
+def _slices(batch: pa.RecordBatch, limit: int):
+    """Consecutive rows of a batch with at most ``limit`` bytes of text (one row at least)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    start, used = 0, 0
+    for k, size in enumerate(sizes):
+        if k > start and used + size > limit:
+            yield batch.slice(start, k - start)
+            start, used = k, 0
+        used += size
+    if start < len(sizes):
+        yield batch.slice(start, len(sizes) - start)
+
+
+def _counted(batches):
+    """Postings of a slice of documents: distinct terms with tf, and n, inside the task."""
+    for whole in batches:
+        for batch in _slices(whole, SLICE_BYTES):
+            texts = pc.ascii_lower(batch.column("text"))
+            parts = pc.split_pattern_regex(texts, SEPARATORS)
+            flat, rows = pc.list_flatten(parts), pc.list_parent_indices(parts)
+            found = pa.table({"row": rows, "term": flat}).filter(pc.greater(pc.binary_length(flat), 0))
+            counted = found.group_by(["row", "term"]).aggregate([("row", "count")])
+            lengths = found.group_by("row").aggregate([("row", "count")])
+            n = pc.take(
+                lengths.column("row_count"),
+                pc.index_in(counted.column("row"), value_set=lengths.column("row")),
+            )
+            yield from pa.Table.from_pydict(
+                {
+                    "doc_id": pc.take(batch.column("doc_id"), counted.column("row")),
+                    "term": counted.column("term"),
+                    "tf": counted.column("row_count"),
+                    "n": n,
+                },
+                schema=POSTING,
+            ).to_batches()
+
+
+def _bounded(small: DataFrame, most: int) -> DataFrame:
+    """small, broadcast if it has at most ``most`` rows (counted), else as it is (shuffled)."""
+    return F.broadcast(small) if small.count() <= most else small
+
+
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, term, tf) of every document; partial counts before the shuffle."""
-    return (
-        docs.where(F.col(key).isNotNull())
-        .select(F.col(key).cast("long").alias("doc_id"), F.explode(terms(F.col(text))).alias("term"))
+    """(doc_id, term, tf, n) of every document with a term; counted within each task.
+
+    A doc_id of several rows is summed afterwards, so it is one document; only
+    such ids are shuffled, and none when there are none.
+    """
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    counted = rows.mapInArrow(_counted, "doc_id long, term string, tf long, n long")
+    repeated = saved(rows.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "lexical-repeated")
+    if repeated.isEmpty():
+        return counted
+    repeated = _bounded(repeated, BROADCAST_ROWS)
+    several = (
+        counted.join(repeated, "doc_id", "left_semi")
         .groupBy("doc_id", "term")
-        .agg(F.count("*").alias("tf"))
+        .agg(F.sum("tf").alias("tf"))
+        .withColumn("n", F.sum("tf").over(Window.partitionBy("doc_id")))
     )
+    return counted.join(repeated, "doc_id", "left_anti").unionByName(several)
 
 
-def stratified_index(docs: DataFrame) -> DataFrame:
-    """(term, m, tf, doc_id, impact) of the postings of positive impact."""
+def stratified_index(docs: DataFrame, wanted_terms: DataFrame | None = None) -> tuple[DataFrame, int, int]:
+    """(term, m, tf, doc_id) of the postings (of ``wanted_terms`` only, if given), with N and L.
+
+    The impact of a posting is w(term) * g(tf, m), g = (10**9 tf) div (1000 tf + 12 m):
+    g is the same for all postings of a stratum with equal tf, and w belongs to
+    the term, so the index keeps (term, m, tf) and the weight stays with the items.
+    """
     post = saved(postings(docs), "lexical-postings")
-    lengths = post.groupBy("doc_id").agg(F.sum("tf").alias("n"))
-    totals = lengths.agg(F.count("*").alias("big_n"), F.sum("n").alias("big_l")).first()
+    # Partial counts per task first: a document's postings all come from one task.
+    totals = post.groupBy("doc_id").agg(F.first("n").alias("n")).agg(
+        F.count("*").alias("big_n"), F.sum("n").alias("big_l")
+    ).first()
     big_n, big_l = int(totals["big_n"] or 0), int(totals["big_l"] or 0)
-    if big_n == 0:
-        return post.select("term", F.lit(0).alias("m"), "tf", "doc_id", F.lit(0).cast("long").alias("impact"))
-    strata = lengths.select("doc_id", F.expr(f"75 + (25 * n * {big_n}L) div {big_l}L").alias("m"))
-    weights = post.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term",
-        F.floor(1000 * F.log(F.lit(2.0 * big_n + 2) / (2 * F.col("df").cast("double") + 1))).cast("long").alias("w"),
-    ).where(F.col("w") > 0)
-    placed = post.join(strata, "doc_id").join(weights, "term")
-    # One impact per (term, m, tf), shared by all documents with those values.
-    impacts = placed.groupBy("term", "m", "tf").agg(F.first("w").alias("w")).select(
-        "term", "m", "tf",
-        F.expr("w * ((1000000000L * tf) div (1000L * tf + 12L * m))").alias("impact"),
-    )
-    index = placed.select("term", "m", "tf", "doc_id").join(impacts, ["term", "m", "tf"])
-    index = saved(index, "lexical-index")
+    m = F.expr(f"75 + (25 * n * {big_n}L) div {max(big_l, 1)}L")
+    if wanted_terms is not None:
+        post = post.join(_bounded(wanted_terms, BROADCAST_ROWS), "term", "left_semi")
+    index = saved(post.select("term", m.alias("m"), "tf", "doc_id"), "lexical-index")
     discard(post)
-    return index
+    return index, big_n, big_l
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -94,11 +156,11 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def _scores(wanted: DataFrame, index: DataFrame) -> DataFrame:
-    """Exact scores of the documents in the wanted (item_id, term, q, m)."""
+    """Exact scores of the documents in the wanted (item_id, term, qw, m); qw = q * w."""
     return (
         wanted.join(index, ["term", "m"])
         .groupBy("item_id", "doc_id")
-        .agg(F.sum(F.col("q") * F.col("impact")).alias("score"))
+        .agg(F.sum(F.col("qw") * F.expr(G)).alias("score"))
     )
 
 
@@ -109,22 +171,36 @@ def _top(scores: DataFrame) -> DataFrame:
 
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, rank, doc_id, score): the TOP best documents of every item."""
-    index = stratified_index(docs)
-    # Per (term, stratum): the largest impact and the number of documents.
-    bounds = index.groupBy("term", "m").agg(F.max("impact").alias("top"), F.count("*").alias("docs"))
-    asked = item_terms(items)
+    asked = saved(item_terms(items), "lexical-items")
+    index, big_n, _ = stratified_index(docs, saved(asked.select("term").distinct(), "lexical-terms"))
+    # Weights of the items' terms only; terms of weight 0 add nothing.
+    weights = index.groupBy("term").agg(
+        F.count("*").alias("df")
+    ).select(
+        "term",
+        F.floor(1000 * F.log(F.lit(2.0 * big_n + 2) / (2 * F.col("df").cast("double") + 1))).cast("long").alias("w"),
+    )
+    asked = asked.join(weights, "term").select("item_id", "term", (F.col("q") * F.col("w")).alias("qw")).where(
+        F.col("qw") > 0
+    )
+    asked = saved(asked, "lexical-asked")
+    # Per (term, stratum) of an asked term: the largest g and the number of documents.
+    bounds = (
+        index.groupBy("term", "m")
+        .agg(F.max("tf").alias("tf"), F.count("*").alias("docs"))
+        .select("term", "m", F.expr(G).alias("top"), "docs")
+    )
     per_stratum = saved(
         asked.join(bounds, "term")
         .groupBy("item_id", "m")
-        .agg(F.sum(F.col("q") * F.col("top")).alias("bound"), F.max("docs").alias("surely")),
+        .agg(F.sum(F.col("qw") * F.col("top")).alias("bound"), F.max("docs").alias("surely")),
         "lexical-strata",
     )
     best_first = Window.partitionBy("item_id").orderBy(F.desc("bound"), "m").rowsBetween(Window.unboundedPreceding, -1)
     first = per_stratum.withColumn("before", F.coalesce(F.sum("surely").over(best_first), F.lit(0))).where(
         F.col("before") < TOP
     )
-    wanted = asked.join(first.select("item_id", "m"), "item_id")
-    round1 = saved(_scores(wanted, index), "lexical-round1")
+    round1 = saved(_scores(asked.join(first.select("item_id", "m"), "item_id"), index), "lexical-round1")
     threshold = (
         _top(round1)
         .groupBy("item_id")
@@ -145,6 +221,6 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
         ),
         "lexical-result",
     )
-    for done in (index, per_stratum, round1):
+    for done in (index, asked, per_stratum, round1):
         discard(done)
     return result
