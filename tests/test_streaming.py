@@ -199,6 +199,33 @@ def test_stream_windows_equal_batch(spark, table, tmp_path):
     assert got.exceptAll(want).count() == 0
 
 
+def test_closed_windows_with_late_rows_and_marker(spark, tmp_path):
+    at = dt.datetime
+    schema = "ts timestamp, event_type string"
+    loads = [
+        [(at(2024, 1, 1, 5), "a"), (at(2024, 1, 1, 6), "a"), (at(2024, 1, 2, 1), "b")],
+        [(at(2024, 1, 10, 1), "a")],
+        [(at(2024, 1, 9, 23), "b"), (at(2024, 1, 10, 2), "a"), (at(2024, 1, 1, 7), "a")],  # behind 01-08
+    ]
+    frames = [spark.createDataFrame(rows, schema) for rows in loads]
+    everything = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    frames.append(ingest.marker_event(everything, "ts", "event_type", "1 day", "2 days"))
+    root = tmp_path / "raw"
+    queries = []
+    for k, frame in enumerate(frames):
+        frame.coalesce(1).write.parquet(str(root / f"load={k}"))
+        stream = spark.readStream.schema(schema).parquet(str(root / "load=*"))
+        queries.append(ingest.start_closed_windows(
+            stream, "ts", "event_type", str(tmp_path / "out"), str(tmp_path / "cp"), "1 day", "2 days"
+        ))
+        run(queries[-1])
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    got = sorted((str(r.window_start.date()), r.event_type, r.n) for r in got)
+    # The late 01-01 row is dropped; every window, the newest too, is written once.
+    assert got == [("2024-01-01", "a", 2), ("2024-01-02", "b", 1), ("2024-01-09", "b", 1), ("2024-01-10", "a", 2)]
+    assert sum(ingest.late_rows(q) for q in queries) == 1
+
+
 def test_backfill_archives(spark, tmp_path):
     from tests.test_sources import zipped
 

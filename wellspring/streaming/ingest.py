@@ -230,6 +230,43 @@ def activity_counts(
     return counted.select(F.col("window.start").alias("window_start"), kind, "n")
 
 
+#: Kind of the event that closes the last windows of a finished stream.
+MARKER = "__end_of_stream__"
+
+
+def marker_event(events: DataFrame, time: str, kind: str, window: str, late: str) -> DataFrame:
+    """One event past the newest window by the lateness allowed: appended to a
+    stream's source, it moves the watermark beyond every window, which closes them."""
+    newest = F.max(F.col(time).cast("timestamp"))
+    at = newest + F.expr(f"interval {window}") + F.expr(f"interval {late}") + F.expr("interval 1 second")
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in (time, kind)]
+    return events.agg(at.alias(time)).select(
+        F.col(time).cast(events.schema[time].dataType).alias(time), F.lit(MARKER).alias(kind), *others
+    ).where(F.col(time).isNotNull()).select(*events.columns)
+
+
+def start_closed_windows(
+    events: DataFrame, time: str, kind: str, path: str, checkpoint: str,
+    window: str = "1 day", late: str = "40 days",
+) -> StreamingQuery:
+    """Counts per window and kind, appended once the watermark closes the window.
+
+    A window is written once and never again; rows behind the watermark are
+    dropped and counted (``late_rows``). The marker event's own window stays
+    open and is not written while no later event comes. (A filter on the
+    marker here would be pushed below the aggregate and hide it from the
+    watermark; readers of a stream that goes on drop the kind ``MARKER``.)
+    """
+    return start_to_table(activity_counts(events, time, kind, window, late), path, checkpoint, "append")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a finished stream dropped as later than its watermark."""
+    return sum(
+        op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", [])
+    )
+
+
 def start_to_table(
     df: DataFrame, path: str, checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
