@@ -171,6 +171,17 @@ def test_clean_key(apply):
         ("nan", None),
         ("2024-1-31x", None),
         (None, None),
+        ("2024-01-31 13:45:00", dt.date(2024, 1, 31)),
+        ("2024-01-31T13:45:00.123Z", dt.date(2024, 1, 31)),
+        ("2024/01/31", dt.date(2024, 1, 31)),
+        ("1/5/2024", dt.date(2024, 1, 5)),
+        ("2024-1-5", dt.date(2024, 1, 5)),
+        ("Jan 31, 2024", dt.date(2024, 1, 31)),
+        ("31-Jan-2024", dt.date(2024, 1, 31)),
+        ("January 5 2024", dt.date(2024, 1, 5)),
+        ("1/5/2024 3:04 PM", dt.date(2024, 1, 5)),
+        ("Foo 5, 2024", None),
+        ("13/13/2024", None),
     ],
 )
 def test_coerce_date(raw, want, apply):

@@ -34,14 +34,65 @@ def _as_iso(text: Column, shape: str) -> Column:
     return F.when(F.length(text) == len(shape), iso)
 
 
+# The shapes of lenient dates (digit 9, a run of letters a) and
+# the pattern that reads each; month-first where day and month could swap.
+DATE_SHAPES = {
+    "9999/99/99": "yyyy/MM/dd",
+    "9999/9/9": "yyyy/M/d",
+    "9999/99/9": "yyyy/MM/d",
+    "9999/9/99": "yyyy/M/dd",
+    "9999-9-9": "yyyy-M-d",
+    "9999-99-9": "yyyy-MM-d",
+    "9999-9-99": "yyyy-M-dd",
+    "9/9/9999": "M/d/yyyy",
+    "99/9/9999": "MM/d/yyyy",
+    "9/99/9999": "M/dd/yyyy",
+    "99-99-9999": "MM-dd-yyyy",
+    "9.9.9999": "d.M.yyyy",
+    "99.99.9999": "dd.MM.yyyy",
+    "a 9, 9999": "MMM d, yyyy",
+    "a 99, 9999": "MMM d, yyyy",
+    "a 9 9999": "MMM d yyyy",
+    "a 99 9999": "MMM d yyyy",
+    "9 a 9999": "d MMM yyyy",
+    "99 a 9999": "d MMM yyyy",
+    "99-a-9999": "dd-MMM-yyyy",
+    "9-a-9999": "d-MMM-yyyy",
+}
+#: Date and time: the date before the time, in any of the shapes above.
+TIME_TAIL = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AaPp][Mm]|Z|[+-]\d{2}:?\d{2})?$"
+
+
+def _shape(text: Column) -> Column:
+    """Digits as 9 and each run of letters as a."""
+    return F.regexp_replace(F.regexp_replace(text, "[0-9]", "9"), "[A-Za-z]+", "a")
+
+
+def _by_shape(text: Column) -> Column:
+    """The date of a text whose shape is in DATE_SHAPES; one pattern parser per shape."""
+    shape = _shape(text)
+    chosen = None
+    for form, pattern in DATE_SHAPES.items():
+        parsed = F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+        if "MMM" in pattern:  # short and long month names
+            parsed = F.coalesce(parsed, F.try_to_timestamp(text, F.lit(pattern.replace("MMM", "MMMM"))).cast("date"))
+        chosen = (F.when(shape == form, parsed) if chosen is None else chosen.when(shape == form, parsed))
+    return chosen
+
+
 def coerce_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; null for anything else.
+    """First of ``formats`` that fits, else a lenient form; null for anything else.
 
-    The text is rearranged and cast, because a pattern parser pays an exception
-    for every value that does not fit.
+    The listed formats are rearranged and cast, because a pattern parser pays
+    an exception for every value that does not fit. Other texts are classed by
+    their shape (digits 9, letter runs a): a date and time counts by its date,
+    and a shape of ``DATE_SHAPES`` picks the one pattern that reads it; unknown
+    shapes are null without any parser.
     """
     trimmed = F.trim(text)
-    return F.coalesce(*[_as_iso(trimmed, f).try_cast("date") for f in formats])
+    day = F.regexp_replace(trimmed, TIME_TAIL, "")
+    fast = [_as_iso(t, f).try_cast("date") for t in (trimmed, day) for f in formats]
+    return F.coalesce(*fast, _by_shape(day))
 
 
 def coerce_dates(

@@ -271,18 +271,24 @@ def p14(t):
 
 @query(
     "p15_coerce_dates",
-    """select o_orderkey, case when o_orderkey % 5 in (3, 4) then null
+    """select o_orderkey, case when o_orderkey % 10 in (3, 4) then null
       else cast(cast(o_orderdate as date) as varchar) end as issued
     from {orders}""",
 )
 def p15(t):
+    """Fast forms, lenient forms (date-times, slashes, unpadded, month names) and junk."""
     raw = t("orders").select(
         "o_orderkey",
         F.expr(
-            "case o_orderkey % 5 when 0 then date_format(o_orderdate, 'yyyyMMdd')"
+            "case o_orderkey % 10 when 0 then date_format(o_orderdate, 'yyyyMMdd')"
             " when 1 then date_format(o_orderdate, 'yyyy-MM-dd')"
             " when 2 then date_format(o_orderdate, 'MM/dd/yyyy')"
-            " when 3 then 'nan' else '20241399' end"
+            " when 3 then 'nan' when 4 then '20241399'"
+            " when 5 then date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')"
+            " when 6 then date_format(o_orderdate, 'yyyy/MM/dd')"
+            " when 7 then date_format(o_orderdate, 'M/d/yyyy')"
+            " when 8 then date_format(o_orderdate, 'MMM d, yyyy')"
+            " else date_format(o_orderdate, 'dd-MMM-yyyy') end"
         ).alias("issued"),
     )
     return values.coerce_dates(raw, ["issued", "not_there"])
