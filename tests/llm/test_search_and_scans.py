@@ -65,6 +65,30 @@ def test_hard_negatives_equal_brute_force(spark, vectors, monkeypatch):
     assert hard_negatives.hard_negatives(df.limit(0)).count() == 0
 
 
+def test_hard_negatives_meet_in_any_number_of_partitions(spark, vectors, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "ROW_CHUNK", 300)
+    monkeypatch.setattr(hard_negatives, "ANCHOR_BLOCK", 4)
+    df = spark.createDataFrame(vectors, "vec_id long, label int, embedding array<float>")
+    given = {"spark.sql.shuffle.partitions": "53", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        got = sorted(tuple(r) for r in hard_negatives.hard_negatives(df).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == _mined([(r.vec_id, r.label, None if r.embedding is None else list(r.embedding)) for r in df.collect()])
+    assert len(got) > 50
+
+
+def test_hard_negatives_of_scores_near_64_bits(spark):
+    at = 4_000_000.0  # scores of about 1e18: a hundred times that passes 64 bits
+    rows = [(100, 1, [at]), (1, 1, [at - 1]), (2, 2, [at - 2]), (3, 2, [at * 0.5]), (4, 3, [at * 0.9])]
+    got = hard_negatives.hard_negatives(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    assert sorted(tuple(r)[:4] for r in got.collect()) == [(100, 1, 1, 2), (100, 1, 2, 4)]
+
+
 def test_residue_products_are_exact_for_large_values():
     rng = np.random.default_rng(5)
     for dims, scale in [(3, 10**6), (64, 300), (700, 2**12), (5, 2**28)]:

@@ -141,7 +141,8 @@ def _negatives(rows: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         s = scores[k]
         for positive in positives:
             pid, ps = int(positive["positive_id"]), int(positive["positive_score"])
-            pick = _best(s, ids, other & (80 * ps <= 100 * s) & (s <= ps))
+            # 80 * ps <= 100 * s without a product that could pass 64 bits
+            pick = _best(s, ids, other & (s >= -(-80 * ps // 100)) & (s <= ps))
             out.append(
                 pd.DataFrame(
                     {"anchor_id": aid, "positive_id": pid, "negative_id": ids[pick],
@@ -164,16 +165,20 @@ def valid_rows(embeddings: DataFrame) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, anchors: DataFrame, shape: DataFrame):
-    """Rows copied to every anchor block, anchors to every row chunk, of their length."""
+    """Rows copied to every anchor block, anchors to every row chunk, of their length.
+
+    The keys have equal types on both sides: a cogroup deals each side by the hash of
+    its own type, so an int and a long of equal value would not meet.
+    """
     # Fresh columns: both sides come from one table.
     rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])
     anchors = anchors.select(*[F.col(c).alias(c) for c in anchors.columns])
     r = rows.join(F.broadcast(shape), "dims").select(
-        "*", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).alias("chunk"),
+        "*", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
     a = anchors.join(F.broadcast(shape), "dims").select(
-        "*", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"),
+        "*", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
     )
     keys = ["dims", "block", "chunk"]
