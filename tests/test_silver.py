@@ -293,3 +293,18 @@ def test_production_keeps_every_well_whatever_column_names_it(spark):
     names = "uwi string, from_to_id string, productionmonth string, activityid string, productid string, volume string, snapshot_date string"
     made = silver.build_production({"ab": spark.createDataFrame(rows, names)}).collect()
     assert {r.uwi: float(r.oil_prod_vol) for r in made} == {"w1": 9.0, "w2": 7.0, None: 3.0}
+
+
+def test_production_reads_each_input_once(spark):
+    columns = "productionmonth string, activityid string, productid string, volume string, from_to_id string, snapshot_date string"
+    rows = [
+        ("2024-01", "PROD", "OIL", "1", "ABWI100010100308W402", "2024-02-01"),
+        ("2024-01", "PROD", "OIL", "2", "ABWI100010100308W402", "2024-03-01"),
+        ("2024-01", "PROD", "OIL", "4", None, "2024-02-01"),
+        ("2024-01", "PROD", "OIL", "8", " ", "2024-02-01"),
+    ]
+    made = silver.build_production({"ab": spark.sparkContext.parallelize(rows, 2).toDF(columns)})
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+    assert sorted((r.uwi, float(r.oil_prod_vol)) for r in made.collect() if r.uwi) == [("00/01-01-003-08W4/2", 2.0)]
+    assert [float(r.oil_prod_vol) for r in made.collect() if r.uwi is None] == [12.0]

@@ -188,11 +188,18 @@ def build_production(inputs: Inputs, tiebreak: Sequence[str] = ("volume",)) -> D
         canonicalize(df, VOLUMETRIC_ALIASES) for df in _given(inputs, ab="AB", sk="SK")
     ]
     produced = activity(union_all(*parts))
-    produced = produced.withColumn("uwi", _well(produced))
-    keys = ["uwi", *VOLUMETRIC_KEYS[1:]]
+    # Only what the order and the sums read travels on.
+    order = [c for c in ("snapshot_date", "file", "line_no", *tiebreak) if c in produced.columns]
+    read = dict.fromkeys([*VOLUMETRIC_KEYS[1:], "volume", "province", *order])
+    produced = produced.select(_well(produced).alias("uwi"), *[c for c in read if c != "uwi"])
+    # A submission without an id is a group of its own: the input is read and its ids
+    # are parsed once, where a union of both kinds would do so twice.
+    alone = F.when(F.col("uwi").isNull(), F.monotonically_increasing_id())
     current = latest_by(
-        produced.where("uwi is not null"), keys, _newest(produced, tiebreak)
-    ).unionByName(produced.where("uwi is null"))
+        produced.withColumn("_alone", alone),
+        ["uwi", "_alone", *VOLUMETRIC_KEYS[1:]],
+        _newest(produced, tiebreak),
+    )
     return pivot_products(trim_keys(current, ["uwi"]))
 
 
