@@ -254,3 +254,21 @@ def test_missing_months(spark, months, want):
     newest = ingest.as_of_table(spark, F.lit(dt.date(2024, 2, 29)))
     got = ingest.missing_months(newest, existing, months)
     assert sorted(r[0] for r in got.collect()) == want
+
+
+def test_amendment_loads_are_written_by_many_tasks(spark, table, tmp_path, monkeypatch, rows):
+    from wellspring.registry import stored
+
+    def many(name):
+        return table(name).repartition(4)
+
+    roots = iter([str(tmp_path / "many")])
+    with monkeypatch.context() as patched:
+        patched.setattr(stored, "new_folder", lambda t: next(roots))
+        got = rows(stored.t04(many))
+    for load in range(3):
+        assert len(list((tmp_path / "many" / "raw" / f"load={load}").glob("*.parquet"))) == 4
+    batches = [p for p in (tmp_path / "many" / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 3
+    want = build_production({"ab": table("volumetric").drop("uwi")})
+    assert got == rows(want, "productionmonth", "uwi", "province", "oil_prod_vol", "gas_prod_vol")

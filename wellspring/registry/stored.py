@@ -183,18 +183,22 @@ def as_stream(t, df, column: str):
     from d group by 1, 2, 3""",
 )
 def t04(t):
-    """Submissions arrive in three loads, their order mixed."""
+    """Submissions arrive in three loads, their order mixed.
+
+    A load is many files written by many tasks; the stream is started after each
+    load and takes its files as one batch.
+    """
     root, raw = new_folder(t), t("volumetric").drop("uwi")
+    spark = raw.sparkSession
     for load in range(3):
-        raw.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(3)) == load).coalesce(1).write.parquet(
+        raw.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(3)) == load).write.parquet(
             f"{root}/raw/load={load}"
         )
-    spark = raw.sparkSession
-    stream = (
-        spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1)
-        .parquet(f"{root}/raw/load=*")
-    )
-    finished(ingest.start_amendments(spark, stream, root, f"{root}/checkpoint"))
+        stream = (
+            spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1_000_000)
+            .parquet(f"{root}/raw/load=*")
+        )
+        finished(ingest.start_amendments(spark, stream, root, f"{root}/checkpoint"))
     return sinks.read_silver(spark, root, "production").select(
         "productionmonth", "uwi", "province", "oil_prod_vol", "gas_prod_vol"
     )
