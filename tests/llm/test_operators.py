@@ -348,6 +348,29 @@ def test_all_training_texts_shape_the_scores(spark):
     assert {r.id: len(r.ids) for r in pieces}[77] == 2 * m.TEXT_IDS and len(pieces) == 21
 
 
+def test_readout_learns_from_every_window_of_every_training_text(spark):
+    m = language_model
+    rng = np.random.default_rng(8)
+    # more texts than any sample held, one of them long; what follows 5 is told by the id before it
+    texts = [np.array([a, 5, a + 10] * 6) for a in rng.integers(20, 24, 1_800)]
+    texts.append(np.tile([7, 9, 11, 9], 2_000))
+    rows = spark.createDataFrame(
+        [(k, bytearray(t.astype("<u2").tobytes())) for k, t in enumerate(texts)], "id long, ids binary"
+    ).repartition(5)
+    model = m.Attention(m.id_counts(rows))
+    counts = m.following_counts(rows, model.group)
+    model.follow(counts)
+    model.embed(counts)
+    sums = m.readout_sums(rows, model)
+    assert np.allclose(sums, model.sums(texts), atol=1e-2)
+    assert np.array_equal(sums, m.readout_sums(rows, model))
+    some = [texts[0], texts[1], texts[-1][:300]]
+    model.p["out"] *= 0
+    before = model.log10(some).sum()
+    model.read_out(counts, sums)
+    assert model.log10(some).sum() > before
+
+
 def test_attention_sums_to_one_and_sees_no_later_id():
     model = language_model.Attention(np.arange(language_model.VOCABULARY) % 7)
     ids = np.random.default_rng(0).integers(0, 1000, (2, language_model.WINDOW))
