@@ -112,6 +112,34 @@ def test_pairs_of_large_buckets_are_all_compared(spark, monkeypatch):
     assert pairs == {(90 + i, i) for i in range(0, 90, 3)}
 
 
+def test_large_buckets_are_compared_on_their_sets(spark, monkeypatch):
+    """Equal signatures, but sets that reach the bound only for the pairs (60 + i, i)."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 2**63, 20, dtype=np.uint64) for _ in range(60)]
+    sets += [np.r_[x[: 18 if i % 2 else 17], rng.integers(0, 2**63, 2 + (i % 2 == 0), dtype=np.uint64)] for i, x in enumerate(sets)]
+    frame = spark.createDataFrame(
+        [(7, i, 20, 1, 2, 3, 4, i) for i in range(120)],
+        "band long, id long, n long, b0 long, b1 long, b2 long, b3 long, c long",
+    )
+    held = spark.createDataFrame([(i, np.sort(x).tobytes()) for i, x in enumerate(sets)], "id long, hashes binary")
+    monkeypatch.setattr(near_documents, "CHUNK", 16)
+    pairs = {(r.a, r.b) for r in near_documents._remaining_pairs(frame, 80, held).collect()}
+    assert pairs == {(60 + i, i) for i in range(1, 60, 2)}
+
+
+def test_pipeline_stages_pass_small_batches(spark, tmp_path):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        docs = spark.createDataFrame([(1, "some words of a text", "en")], "doc_id long, text string, lang string")
+        assert corpus_pipeline.language(spark, docs, str(tmp_path)).count() == 1
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_densified_bins_agree_as_often_as_the_sets():
     rng = np.random.default_rng(0)
     for size, common in ((10, 9), (200, 180)):

@@ -15,8 +15,10 @@
    group of copies does, and from others picked by a hash for each bucket.
 6. In the buckets that hold several components even then, all pairs between
    components are compared, whatever the size of the bucket. Buckets above
-   ``SMALL`` members are cut into chunks for it, and only pairs whose one-bit
-   signatures are close leave a task.
+   ``SMALL`` members are cut into chunks for it. The sets travel to the chunks, half
+   of each hash, so a task counts what two sets share and only pairs that reach
+   the bound leave it: in a large group of texts that resemble each other below
+   the bound, signatures alone would let most pairs through.
 
 A pair at the similarity bound shares no bucket with probability below 3e-6.
 
@@ -57,8 +59,8 @@ MAX_BITS = 60
 STARS = 3
 #: Buckets of up to so many members are compared by a join, larger ones in chunks.
 SMALL = 24
-#: Members of a chunk of a larger bucket, about.
-CHUNK = 512
+#: Members of a chunk of a larger bucket, and their shingles, about.
+CHUNK, CHUNK_SHINGLES = 512, 1 << 19
 
 
 def shingles(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,13 +248,40 @@ def _star_pairs(mixed_members: DataFrame, turn: int, percent: int) -> DataFrame:
     return _paired(mixed_members, hubs, F.col("m.c") != F.col("h.c"), percent)
 
 
-def _remaining_pairs(mixed_members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of different components that share a bucket."""
-    sizes = mixed_members.groupBy("band", "c").agg(F.count("*").alias("size"))
+def _halves(sets: DataFrame) -> DataFrame:
+    """(id, codes): 32 bits of each hash of a set, so what two sets share is never undercounted."""
+    kind = dict(sets.dtypes)["id"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [
+                np.frombuffer(value.as_buffer(), dtype=np.uint64).astype("<u4").tobytes()
+                for value in batch.column(1)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(codes, pa.binary())], names=["id", "codes"]
+            )
+
+    return sets.select("id", "hashes").mapInArrow(cut, f"id {kind}, codes binary")
+
+
+def _remaining_pairs(
+    mixed_members: DataFrame, percent: int, sets: DataFrame | None = None
+) -> DataFrame:
+    """All pairs of members of different components that share a bucket and may be similar.
+
+    With ``sets`` (id, hashes), pairs of large buckets are counted on the sets.
+    """
+    sizes = mixed_members.groupBy("band", "c").agg(
+        F.count("*").alias("size"), F.sum("n").alias("mass")
+    )
+    largest = F.struct("size", "c")
     main = sizes.groupBy("band").agg(
-        F.max_by("c", F.struct("size", "c")).alias("main"),
+        F.max_by("c", largest).alias("main"),
         F.sum("size").alias("all"),
         (F.sum("size") - F.max("size")).alias("outside"),
+        F.sum("mass").alias("all_mass"),
+        (F.sum("mass") - F.max_by("mass", largest)).alias("outside_mass"),
     )
     named = saved(mixed_members.join(main, "band"), "near-rest")
     small = named.where(F.col("all") <= SMALL)
@@ -263,16 +292,22 @@ def _remaining_pairs(mixed_members: DataFrame, percent: int) -> DataFrame:
         & ((F.col("m.c") == F.col("h.main")) | (F.col("m.id") < F.col("h.id"))),
         percent,
     )
-    return few.unionByName(_chunked_pairs(named.where(F.col("all") > SMALL), percent)).distinct()
+    return few.unionByName(_chunked_pairs(named.where(F.col("all") > SMALL), percent, sets)).distinct()
 
 
-def _chunked_pairs(named: DataFrame, percent: int) -> DataFrame:
+def _chunked_pairs(named: DataFrame, percent: int, sets: DataFrame | None) -> DataFrame:
     """The same pairs of large buckets: chunks of all members by chunks of those outside main."""
-    rows, columns = (F.ceil(F.col(c) / CHUNK).cast("int") for c in ("all", "outside"))
+    rows, columns = (
+        F.greatest(F.ceil(F.col(c) / CHUNK), F.ceil(F.col(f"{c}_mass") / CHUNK_SHINGLES)).cast("int")
+        for c in ("all", "outside")
+    )
     at = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
     every = lambda n: F.sequence(F.lit(0), n - 1)
     signature = [f"b{k}" for k in range(-(-BINS // 64))]
     kept = ["band", "id", "c", "n", *signature]
+    if sets is not None:
+        named = named.join(_halves(sets), "id")
+        kept.append("codes")
     member = named.select(*kept, F.lit(False).alias("hub"), at(rows, 0).alias("i"), F.explode(every(columns)).alias("j"))
     hub = named.where("c <> main").select(
         *kept, F.lit(True).alias("hub"), F.explode(every(rows)).alias("i"), at(columns, 1).alias("j")
@@ -285,6 +320,11 @@ def _chunked_pairs(named: DataFrame, percent: int) -> DataFrame:
         n = group.column("n").to_numpy()
         bits = np.stack([group.column(w).to_numpy() for w in signature], axis=1).view(np.uint64)
         members, hubs = np.flatnonzero(~is_hub), np.flatnonzero(is_hub)
+        first = np.cumsum(n) - n
+        if "codes" in kept:
+            raw = b"".join(value.as_buffer() for value in group.column("codes"))
+            every, flat = np.unique(np.frombuffer(raw, dtype="<u4"), return_inverse=True)
+            of_hub = np.zeros(len(every), dtype=bool)
         left, right = [], []
         for h in hubs:
             # a pair of two members outside main is found from both sides and made distinct later
@@ -293,6 +333,14 @@ def _chunked_pairs(named: DataFrame, percent: int) -> DataFrame:
             some = members[near]
             apart = np.bitwise_count(bits[some] ^ bits[h]).sum(axis=1, dtype=np.int64)
             some = some[apart <= MAX_BITS]
+            if "codes" in kept and len(some):
+                own = flat[first[h] : first[h] + n[h]]
+                of_hub[own] = True
+                upto = np.cumsum(n[some])
+                at = np.arange(upto[-1]) + np.repeat(first[some] - (upto - n[some]), n[some])
+                common = np.add.reduceat(of_hub[flat[at]], upto - n[some], dtype=np.int64)
+                of_hub[own] = False
+                some = some[100 * common >= percent * (n[some] + n[h] - common)]
             left.append(some)
             right.append(np.full(len(some), h))
         ids = group.column("id")
@@ -355,7 +403,7 @@ def near_duplicates(
         if rest.isEmpty():
             break
         if last:
-            pairs = _remaining_pairs(rest, percent)
+            pairs = _remaining_pairs(rest, percent, sets)
         else:
             pairs = reduce(
                 DataFrame.unionByName, [_star_pairs(rest, t, percent) for t in range(1, STARS)]
