@@ -10,33 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.llm import languages, leaks, near_documents, packing, personal_data
-from wellspring.llm.stages import saved, table
+from wellspring.llm.stages import saved, small_batches, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; undetermined ones go."""
+    small_batches(spark)
     model = languages.learned(languages.training(docs))
     return languages.determined(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
+    small_batches(spark)
     groups = saved(near_documents.near_duplicates(docs, width=5, percent=80), "pipeline-groups")
     return docs.join(groups.where("kept").select("doc_id"), "doc_id", "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced in the text."""
+    small_batches(spark)
     return personal_data.sanitised(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in token sequences."""
+    small_batches(spark)
     return packing.pack(docs)
 
 
