@@ -148,6 +148,29 @@ def test_lexical_search_equals_brute_force(spark, monkeypatch):
     assert lexical_search.search(d, i.limit(0)).count() == 0
 
 
+def test_lexical_search_keeps_the_best_of_each_task(spark, monkeypatch):
+    """Several passes over the items; no table with a row per item and document."""
+    rng = np.random.default_rng(10)
+    docs = [(i, " ".join(rng.choice(["a", "b", "c", "d", f"x{i}"], 12))) for i in range(2000)]
+    items = [(k, t) for k, t in enumerate(("a b", "c", "d d a", "x7 b", "a b c d"))]
+    counts, saved = [], lexical_search.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        if name == "lexical-round1":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(lexical_search, "saved", counted)
+    monkeypatch.setattr(lexical_search, "ITEMS", 2, raising=False)
+    monkeypatch.setattr(lexical_search, "TOP", 3)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in lexical_search.search(d, i).collect())
+    assert got == _ranked(docs, items, top=3)
+    assert sum(counts) <= 3 * len(items) * 16
+
+
 # -- op13: secret scans --------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
