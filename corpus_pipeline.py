@@ -8,9 +8,10 @@ supported; null and empty texts leave at the first stage, as they have no letter
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wellspring.llm import languages, leaks, near_documents, packing, personal_data
-from wellspring.llm.stages import saved, small_batches, table
+from wellspring.llm.stages import saved, small_batches, table, without
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The first document of each group of near copies."""
     small_batches(spark)
     groups = saved(near_documents.near_duplicates(docs, width=5, percent=80), "pipeline-groups")
-    return docs.join(groups.where("kept").select("doc_id"), "doc_id", "left_semi")
+    # the ids that go are fewer than those that stay
+    gone = groups.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept")
+    return without(docs.where("doc_id is not null"), gone, "doc_id")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -140,6 +140,61 @@ def test_pipeline_stages_pass_small_batches(spark, tmp_path):
         spark.conf.set(name, before)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_pipeline_stages_leave_texts_where_they_are(spark, tmp_path, monkeypatch, limit):
+    """Few ids go to the texts; repeated and null ids are kept or dropped as by joins on the id."""
+    import corpus_pipeline
+    from wellspring.llm import stages
+
+    monkeypatch.setattr(stages, "BROADCAST_ROWS", limit)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    item = " ".join(f"item{k}" for k in range(40))
+    mail = "write to anna@example.org for zebras"
+    rows = [(1, STORY * 3), (2, STORY * 3), (3, item), (None, item), (None, STORY), (4, mail), (4, "plain"), (5, "other words")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    try:
+        near = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+        clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+        hidden = corpus_pipeline.personal(spark, docs, str(tmp_path))
+    finally:
+        spark.conf.set(batch, before)
+    assert near.columns == clean.columns == hidden.columns == docs.columns
+    assert found(near) == sorted(r for r in rows if r[0] not in (2, None))
+    assert found(clean) == sorted((i or 0, t) for i, t in rows if i != 3)
+    own = [t for i, t in found(hidden) if i == 4]
+    assert len(own) == 2 and "anna@" not in "".join(own) and "[EMAIL]" in own[1]
+    assert [r for r in found(hidden) if r[0] != 4] == sorted((i or 0, t) for i, t in rows if i != 4)
+    if limit:
+        assert "hashpartitioning" not in _plan(near) + _plan(clean)
+
+
+def test_terms_are_counted_before_they_are_shuffled(spark):
+    docs = spark.createDataFrame([("alpha beta alpha",), ("beta gamma",), (None,), ("",)], "text string")
+    terms = spark.createDataFrame([("beta",), ("gamma",), ("delta",)], "term string")
+    got = personal_data.texts_with(docs, terms, "text")
+    assert {r.term: r.n for r in got.collect()} == {"beta": 2, "gamma": 1}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_signatures_travel_only_for_mixed_buckets(spark):
+    """Buckets of one component leave; the members of the others have their component."""
+    members = spark.createDataFrame(
+        [(1, 10, 5), (1, 11, 5), (2, 10, 5), (2, 12, 5), (3, None, 5)], "band long, id long, n long"
+    )
+    labels = spark.createDataFrame([(10, 10), (11, 10)], "node long, component long")
+    got = near_documents._mixed(members, labels)
+    assert got.columns == ["band", "id", "n", "c"]
+    assert sorted(map(tuple, got.collect())) == [(2, 10, 5, 10), (2, 12, 5, 12)]
+
+
 def test_densified_bins_agree_as_often_as_the_sets():
     rng = np.random.default_rng(0)
     for size, common in ((10, 9), (200, 180)):

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from wellspring.llm.stages import without
 from wellspring.llm.words import Stretches, slices, words
 
 K1, B = 1.2, 0.75
@@ -301,5 +302,4 @@ def _searching(index: Index, item_type: pa.DataType):
 
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents in which no item was found, with their own columns."""
-    found = leaks(docs, items, key, text).select(key).distinct()
-    return docs.join(found, key, "left_anti").select(docs.columns)
+    return without(docs, leaks(docs, items, key, text), key)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm.graph import components
-from wellspring.llm.stages import saved
+from wellspring.llm.stages import bounded, saved
 from wellspring.llm.words import (
     Slice,
     Stretches,
@@ -222,16 +222,22 @@ def _close(percent: int):
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with their component c."""
-    named = members.join(labels, members["id"] == labels["node"], "left").select(
-        *members.columns, F.coalesce("component", "id").alias("c")
-    )
+
+    def named(some: DataFrame) -> DataFrame:
+        return some.join(labels, some["id"] == labels["node"], "left").select(
+            *some.columns, F.coalesce("component", "id").alias("c")
+        )
+
+    # signatures travel only for the buckets that are looked for
     several = (
-        named.groupBy("band")
+        named(members.select("band", "id"))
+        .groupBy("band")
         .agg(F.min("c").alias("low"), F.max("c").alias("high"))
         .where("low < high")
         .select("band")
     )
-    return saved(named.join(several, "band", "left_semi"), "near-mixed")
+    several = bounded(saved(several, "near-several"))
+    return saved(named(members.join(several, "band", "left_semi")), "near-mixed")
 
 
 def _star_pairs(mixed_members: DataFrame, turn: int, percent: int) -> DataFrame:

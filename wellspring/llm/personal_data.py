@@ -16,9 +16,9 @@ patterns.
 ``sanitised`` puts the name of the kind in place of a span (a generalisation)
 or removes terms.
 
-All of it is DataFrame functions. The text is shuffled by ``sanitised`` only where
-the table of spans is too large for Spark to broadcast; the words of documents with
-entities are. A frequent entity is counted per task before the shuffle, and a term is
+All of it is DataFrame functions. ``sanitised`` shuffles only texts with spans, or all
+where the ids of those are too many to broadcast; the words of documents with
+entities are shuffled. A frequent entity is counted per task before the shuffle, and a term is
 paired with an entity only if it is rare enough to disclose it.
 
 Patterns are written so that they need time in proportion to the text and no
@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.llm.stages import saved
+from wellspring.llm.stages import bounded, saved, without
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -153,6 +153,18 @@ def words_of(docs: DataFrame, base: DataFrame, key: str, text: str) -> DataFrame
     return found.join(base.select("id", "spans"), "id").where(~covered).select("id", "term", "start", "end")
 
 
+def texts_with(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+    """(term, n): how many texts hold each of some distinct terms.
+
+    All terms are counted, in each task before the shuffle, and then picked: the terms
+    of a task are far fewer than its words.
+    """
+    every = docs.select(
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term")
+    )
+    return every.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
+
+
 def disclosing(docs: DataFrame, base: DataFrame, words: DataFrame, text: str) -> DataFrame:
     """(id, term): the terms that give an entity of a document away."""
     entity = F.explode(
@@ -169,12 +181,7 @@ def disclosing(docs: DataFrame, base: DataFrame, words: DataFrame, text: str) ->
     )
     held = saved(words.select("id", "term").distinct(), "pii-held")
     terms = saved(held.select("term").distinct(), "pii-terms")
-    every = docs.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term")
-    )
-    often = saved(
-        every.join(terms, "term").groupBy("term").agg(F.count("*").alias("n")), "pii-often"
-    )
+    often = saved(texts_with(docs, terms, text), "pii-often")
     share = lambda n: (n + SMOOTH) / (F.col("n") + 2 * SMOOTH)
     pairs = (
         held.join(often, "term")
@@ -255,4 +262,6 @@ def sanitised(
     clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(
         F.aggregate("_spans", start, step, rest)
     )
-    return docs.join(some, key, "left").withColumn(text, clean).select(docs.columns)
+    own = saved(some.select(key).distinct(), "pii-own")
+    marked = docs.join(bounded(own), key, "left_semi").join(some, key, "left")
+    return without(docs, own, key).unionByName(marked.withColumn(text, clean).select(docs.columns))
