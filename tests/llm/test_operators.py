@@ -454,6 +454,49 @@ def test_readout_learns_from_every_window_of_every_training_text(spark):
     assert model.log10(some).sum() > before
 
 
+@pytest.mark.parametrize("frequent", [0, 3, 1 << 16])
+def test_frequent_words_stay_in_the_tasks(spark, docs, monkeypatch, frequent):
+    m = language_model
+    texts = {i: [*WORD.findall((t or "").translate(LOWER)), None] for i, t in HARD}
+    c = Counter(w for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
+    n, v = sum(c.values()), len(c)
+    train = docs.where("doc_id is not null and pmod(crc32(cast(doc_id as string)), 7) <> 2")
+    known = m.training_words(train, "text")
+    assert sorted(r.c for r in known.collect()) == sorted(c.values())
+    table = known.orderBy("c", "word", ascending=False).limit(frequent).toArrow()
+    rows = m.word_counts(docs, "doc_id", "text", table).collect()
+    held = {r.word for r in table.to_pandas().itertuples()}
+    assert len([r for r in rows if r.part is not None]) == len(HARD)
+    assert not held & {r.word for r in rows if r.part is None}
+    assert sum(r.n for r in rows) == sum(map(len, texts.values()))
+    monkeypatch.setattr(m, "FREQUENT", frequent)
+    for r in m.base_scores(docs, "doc_id", "text", 7, 2).collect():
+        own = texts[r.id]
+        base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c[w] > 0 for w in own), n)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_fast_scores_equal_those_of_forward(size):
+    """Also with weights so large that exponents must be shifted."""
+    m = language_model
+    rng = np.random.default_rng(9)
+    model = m.Attention(rng.integers(0, 50, m.VOCABULARY))
+    model.follow(rng.integers(0, 3, (m.VOCABULARY, m.CLASSES)))
+    model.p["embed"] *= size
+    model.p["out"] *= size
+    texts = [rng.integers(0, m.VOCABULARY, n) for n in (1, 24, 700)]
+    every, before, at, owner, fresh = model.windows(texts)
+    assert np.allclose(model.outputs(before[at]), model.states(before[at])[-1], atol=1e-4)
+    logits = model.forward(before[at]).astype(np.float64)
+    logs = logits - logits.max(axis=2, keepdims=True)
+    logs -= np.log(np.exp(logs).sum(axis=2, keepdims=True))
+    own = np.take_along_axis(logs, model.group[every[at]][..., None], 2)[..., 0] / np.log(10)
+    want = np.bincount(owner, (own * fresh).sum(axis=1), 3) + [model.within[t].sum() for t in texts]
+    assert np.allclose(model.log10(texts), want, rtol=1e-4)
+
+
 def test_attention_sums_to_one_and_sees_no_later_id():
     model = language_model.Attention(np.arange(language_model.VOCABULARY) % 7)
     ids = np.random.default_rng(0).integers(0, 1000, (2, language_model.WINDOW))
