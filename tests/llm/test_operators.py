@@ -463,7 +463,10 @@ def test_frequent_words_stay_in_the_tasks(spark, docs, monkeypatch, frequent):
     train = docs.where("doc_id is not null and pmod(crc32(cast(doc_id as string)), 7) <> 2")
     known = m.training_words(train, "text")
     assert sorted(r.c for r in known.collect()) == sorted(c.values())
-    table = known.orderBy("c", "word", ascending=False).limit(frequent).toArrow()
+    table = m.most_frequent(known, frequent)
+    chosen = table.column("c").to_pylist()
+    assert chosen == sorted(c.values(), reverse=True)[: len(chosen)] and len(chosen) <= frequent
+    assert frequent < v or len(chosen) == v
     rows = m.word_counts(docs, "doc_id", "text", table).collect()
     held = {r.word for r in table.to_pandas().itertuples()}
     assert len([r for r in rows if r.part is not None]) == len(HARD)
