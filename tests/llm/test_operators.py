@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wellspring.llm import (
@@ -454,6 +455,63 @@ def test_readout_learns_from_every_window_of_every_training_text(spark):
     assert model.log10(some).sum() > before
 
 
+#: Cuts of all kinds, and white space beyond ASCII, after which there must be none.
+ODD_TEXTS = [
+    None, "", " ", "\n\n", "a", "  two  blanks \t and\ttabs\r\n end \n", "don't we'll 'tis ''s 's3 x'RE '", "3rd 12ab34 5.6,7 a1-b2",
+    "\u00e9t\u00e9\u00e7### ou\u00e9, na\u00efve's", "cut\u00a0 here \u00a0x\u2003 \u3000 y\u0085\nz", "nbsp\u00a0at end\u00a0", "e\u0301 \u65e5\u672c \u8a9e1\u00bd \U0001f600!",
+    "\x00\x1c\x1f a\x7fb _under_score_", "Zealously unprecedentedantidisestablishmentarianismfloccinaucinihilipilification", "w" * 3_000 + " " * 70 + "tail",
+]
+
+
+@pytest.mark.parametrize("bits", [1, 3, 12])
+def test_ids_by_pieces_are_those_of_the_whole_texts(bits):
+    m = language_model
+    vocabulary = m.default_vocabulary()
+    encode = packing.encoder(vocabulary)
+    rng = np.random.default_rng(5)
+    mixed = ["".join(rng.choice(list("aB3'. \n\u00e9\u00a0-"), 40)) for _ in range(300)]
+    want = [[*encode((t or "").translate(LOWER)), m.VOCABULARY - 1] for t in ODD_TEXTS + mixed]
+    table = m.Pieces(vocabulary, bits)
+    for limit in (1, 60, 1 << 18):
+        got = []
+        for part in m.slices(pa.array(ODD_TEXTS + mixed, pa.string()), limit):
+            ids, size = table.of(part)
+            assert len(size) == part.rows and size.sum() == len(ids)
+            got += [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+        assert got == want
+
+
+def test_pieces_that_recur_are_not_encoded_again(monkeypatch):
+    m = language_model
+    encoded = []
+    real = packing.encoder(m.default_vocabulary())
+    monkeypatch.setattr(m, "encoder", lambda vocabulary: lambda text: (encoded.append(text), real(text))[1])
+    table = m.Pieces(m.default_vocabulary())
+    once, again = (list(m.slices(pa.array([t] * n)))[0] for t, n in ((STORY, 1), (STORY * 9 + "unheard", 50)))
+    table.of(once)
+    encoded.clear()
+    ids, size = table.of(again)
+    assert [t for t in encoded if t] == [" unheard"] and len(size) == 50
+    assert ids[: size[0] - 1].tolist() == real(STORY * 9 + "unheard").tolist()
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_attention_sums_equal_those_of_states(size):
+    m = language_model
+    rng = np.random.default_rng(10)
+    model = m.Attention(rng.integers(0, 50, m.VOCABULARY))
+    model.p["embed"] *= size
+    assert model.near().safe == (size == 1)
+    texts = [rng.integers(0, 300, n) for n in (1, 23, 24, 45, 5_000, 2)]
+    every, before, at, _, fresh = model.windows(texts)
+    h = model.states(before[at])[-1][fresh].astype(np.float64)
+    by_id, by_class = np.zeros((m.VOCABULARY, m.DIMS)), np.zeros((m.CLASSES, m.DIMS))
+    np.add.at(by_id, before[at][fresh], h)
+    np.add.at(by_class, model.group[every[at][fresh]], h)
+    want = np.concatenate((by_id.ravel(), by_class.ravel(), (h.T @ h).ravel()))
+    assert np.allclose(model.sums(texts), want, atol=2e-3)
+
+
 @pytest.mark.parametrize("frequent", [0, 3, 1 << 16])
 def test_frequent_words_stay_in_the_tasks(spark, docs, monkeypatch, frequent):
     m = language_model
