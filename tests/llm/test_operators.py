@@ -593,6 +593,44 @@ def test_attention_gradients():
         assert math.isclose((up - down) / 2e-2, g[name][at], rel_tol=0.05, abs_tol=1e-4)
 
 
+def test_gradients_of_texts_are_those_of_their_windows():
+    """Also with weights so large that exponents must be shifted."""
+    m = language_model
+    rng = np.random.default_rng(12)
+    texts = [rng.integers(0, 300, n) for n in (1, 23, 24, 45, 3_000, 2)]
+    for size in (1, 40):
+        model = m.Attention(rng.integers(0, 50, m.VOCABULARY))
+        model.follow(rng.integers(0, 3, (m.VOCABULARY, m.CLASSES)))
+        model.p["embed"] *= size
+        model.p["out"] *= size
+        assert (model.near().safe, model.small()) == (size == 1, size == 1)
+        every, before, at, _, fresh = model.windows(texts)
+        g = model.fit(before[at], model.group[every[at]], fresh)
+        want = np.concatenate([g[name].ravel() for name in model.p]) * len(every)
+        assert np.allclose(model.gradients(texts), want, rtol=1e-3, atol=1e-2 * size)
+
+
+def test_attention_learns_from_every_training_text(spark, monkeypatch):
+    m = language_model
+    rng = np.random.default_rng(13)
+    # what follows 5 is told by the first id, some ids back; one text is long
+    texts = [np.tile([a, *rng.integers(30, 40, 3), 5, a + 10], n) for a, n in zip(rng.integers(20, 24, 400), [60] + [8] * 399)]
+    schema = "id long, ids binary"
+    rows = spark.createDataFrame([(k, bytearray(t.astype("<u2").tobytes())) for k, t in enumerate(texts)], schema)
+    own = [k for k in range(len(texts)) if zlib.crc32(str(k).encode()) % 7 != 2]
+    seen, real = [], m.Attention.step
+    monkeypatch.setattr(m.Attention, "step", lambda self, sums, n, *a: (seen.append(n), real(self, sums, n, *a)))
+    got = {r.id: r.score for r in m.attention_scores(rows.repartition(3), 7, 2).collect()}
+    assert len(seen) == m.ROUNDS and sum(seen) == sum(len(texts[k]) for k in own)
+    again = {r.id: r.score for r in m.attention_scores(rows.repartition(1), 7, 2).collect()}
+    assert got == pytest.approx(again, rel=1e-4) and len(got) == len(texts)
+    monkeypatch.setattr(m, "learn", lambda *a: None)
+    before = {r.id: r.score for r in m.attention_scores(rows, 7, 2).collect()}
+    held = [k for k in got if k not in set(own)]
+    assert sum(got[k] for k in held) > 0.97 * sum(before[k] for k in held)
+    assert m.attention_scores(spark.createDataFrame([], schema), 7, 2).count() == 0
+
+
 def test_sharding(docs, empty):
     got = sharding.shard(docs, 4).collect()
     groups = {}
